@@ -1,0 +1,5 @@
+"""Intentionally empty: every entry point of this engine is a one-shot batch.
+
+Late or corrected days are handled by re-running a date (load-once append or
+replace-a-date, see ``tradeweave.sinks.tables``), so there is no stream to model.
+"""
