@@ -7,9 +7,10 @@ Stages, per settlement date:
 3. turnarounds: linked subsequent rows act as supply for open ones of the opposite side in their
    group, followed by reference matching, until a turnaround links nothing.
 
-The loop state is narrow and lives in Parquet under the shared folder. Each turnaround reads the cell
-histogram (not rows) to decide, and rewrites only the rows that are still open on dates that are
-still moving. All dates advance together; a date that linked nothing is finished.
+The loop state is narrow and lives in Parquet under the shared folder. Each turnaround decides on the
+cell histogram, not on rows, and only for groups in which the previous step linked something: any
+other group would answer as before, with nothing. References are propagated from the new links only.
+All dates advance together; a date that links nothing has no touched group and drops out by itself.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeweave import schemas as S
 from tradeweave.operators import matching as M
@@ -129,44 +131,43 @@ def _label(total: str, single: str) -> Column:
 class LinkState:
     """Open rows and links so far, each a stored table."""
 
+    schema = T.StructType([
+        T.StructField("SettlementDate", T.IntegerType()),
+        T.StructField("row_id", T.LongType()),
+        T.StructField("Code_CDP", T.StringType()),
+        T.StructField("side", T.StringType()),
+        T.StructField("Quantity", T.DoubleType()),
+        T.StructField(_REF, T.StringType()),
+        T.StructField("comments", T.StringType()),
+    ])
+
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
         self.open: DataFrame | None = None
         self.links: list[str] = []
-        self.moving: list[int] = []  # dates that linked something in the last quantity step
 
-    def linked(self, only: int = 0) -> DataFrame | None:
-        paths = self.links[-only:] if only else self.links
-        if not paths:
-            return None
-        schema = self.scratch.spark.read.parquet(paths[0]).schema
-        return self.scratch.spark.read.schema(schema).parquet(*paths)
+    def _read(self, *paths: str) -> DataFrame:
+        spark = self.scratch.spark
+        return spark.read.schema(self.schema).parquet(*paths) if paths else spark.createDataFrame([], self.schema)
+
+    def linked(self, since: int = 0) -> DataFrame:
+        return self._read(*self.links[since:])
 
-    def split(self, tagged: DataFrame, name: str, track_dates: bool = False) -> bool:
+    def split(self, tagged: DataFrame, name: str) -> bool:
         """Store rows with and without a comment apart; true if any row was linked."""
         path = self.scratch.at(name)
         (
-            tagged.withColumn("is_linked", F.col("comments").isNotNull())
+            tagged.select(*self.schema.names)
+            .withColumn("is_linked", F.col("comments").isNotNull())
             .write.partitionBy("is_linked").parquet(path)
         )
-        reader = self.scratch.spark.read.schema(tagged.schema)
-
-        def part(name: str) -> DataFrame | None:
-            # a partition folder exists exactly when some row fell into it
-            folder = f"{path}/is_linked={name}"
-            return reader.parquet(folder) if path_exists(self.scratch.spark, folder) else None
-
-        rest, hits = part("false"), part("true")
-        if rest is None:
-            rest = self.scratch.spark.createDataFrame([], tagged.schema)
-        self.open = rest.drop("comments")
-        if hits is not None:
-            self.links.append(f"{path}/is_linked=true")
-        if track_dates:
-            # one value per settlement date: bounded by the calendar
-            dates = hits.select("SettlementDate").distinct().collect() if hits is not None else []
-            self.moving = [r[0] for r in dates]
-        return hits is not None
+        # a partition folder exists exactly when some row fell into it
+        rest, hits = (f"{path}/is_linked={v}" for v in ("false", "true"))
+        self.open = self._read(*[p for p in (rest,) if path_exists(self.scratch.spark, p)]).drop("comments")
+        if not path_exists(self.scratch.spark, hits):
+            return False
+        self.links.append(hits)
+        return True
 
 
 def tag_by_quantity(state: LinkState, takes: DataFrame, shape: Shape, limits: M.Limits,
@@ -223,34 +224,40 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
     if upto == "reference" or not state.links:
         return _finish(state)
 
-    turn, dates = 1, None
+    turn, before = 1, 0
     while True:
         if turn > max_rounds:
             raise RuntimeError(f"linking did not settle within {max_rounds} rounds")
-        now = turnaround_cells(cells, state.linked())
-        if dates is not None:
-            now = now.where(F.col("SettlementDate").isin(dates))
-            state.open = state.open.where(F.col("SettlementDate").isin(dates))
         turn += 1
+        near = touched_groups(state.linked(since=before), limits, scratch, f"touched{turn}")
+        now = turnaround_cells(near(cells), near(state.linked()))
         takes = decide(now, wide, True, limits, scratch, f"t{turn}")
+        before = len(state.links)
         tagged = tag_by_quantity(
             state, takes, shape, limits, _turn(S.TOTAL_LINK, turn), _turn(S.INDIVIDUAL_LINK, turn)
         )
-        if not state.split(tagged, f"q{turn}", track_dates=True):
+        if not state.split(tagged, f"q{turn}"):
             break
-        dates = state.moving
-        state.open = state.open.where(F.col("SettlementDate").isin(dates))
-        state.split(tag_by_reference(state, state.linked(only=1), _turn(S.REFERENCE_LINK, turn)), f"r{turn}")
+        new_refs = state.linked(since=before)
+        state.split(tag_by_reference(state, new_refs, _turn(S.REFERENCE_LINK, turn)), f"r{turn}")
     return _finish(state)
 
 
+def touched_groups(new_links: DataFrame, limits: M.Limits, scratch: Scratch, name: str):
+    """A filter that keeps rows of groups in which ``new_links`` changed something.
+
+    The group list is broadcast when it is measured to be short. While it is long most groups are
+    in it, so a semi join would shuffle everything to drop little, and the filter keeps all rows.
+    """
+    keys = ["SettlementDate", "Code_CDP"]
+    groups = scratch.store(new_links.where("Code_CDP IS NOT NULL").select(*keys).distinct(), name)
+    if groups.count() > limits.small_list:
+        return lambda df: df
+    return lambda df: df.join(F.broadcast(groups), keys, "left_semi")
+
+
 def _finish(state: LinkState) -> DataFrame:
-    linked = state.linked()
-    if linked is None:
-        linked = state.scratch.spark.createDataFrame(
-            [], "SettlementDate int, row_id bigint, comments string"
-        )
-    return linked.select("SettlementDate", "row_id", "comments")
+    return state.linked().select("SettlementDate", "row_id", "comments")
 
 
 def apply_links(prepared: DataFrame, links: DataFrame, looked_at: bool = True) -> DataFrame:

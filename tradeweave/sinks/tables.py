@@ -19,13 +19,19 @@ def stored_dates(spark: SparkSession, path: str) -> set[int]:
             if n.startswith(prefix) and n[len(prefix):].isdigit()}
 
 
-def append_new_dates(df: DataFrame, path: str) -> None:
-    """Append only rows of dates the table does not hold yet; creates the table if absent."""
+def append_new_dates(df: DataFrame, path: str, clustered: bool = True) -> None:
+    """Append only rows of dates the table does not hold yet; creates the table if absent.
+
+    ``clustered`` says that tasks already hold few dates each; otherwise rows are rebalanced by date
+    first (adaptive execution splits large dates), which keeps the number of files low.
+    """
     spark = df.sparkSession
     held = sorted(stored_dates(spark, path))
     if held:
         known = spark.createDataFrame([(d,) for d in held], f"{DAY} int")  # one row per calendar day
         df = df.join(F.broadcast(known), DAY, "left_anti")
+    if not clustered:
+        df = df.hint("rebalance", DAY)
     df.write.mode("append").partitionBy(DAY).parquet(path)
 
 
