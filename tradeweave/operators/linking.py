@@ -229,7 +229,7 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
         if turn > max_rounds:
             raise RuntimeError(f"linking did not settle within {max_rounds} rounds")
         turn += 1
-        near = touched_groups(state.linked(since=before), limits, scratch, f"touched{turn}")
+        near = touched_groups(state.linked(since=before), limits)
         now = turnaround_cells(near(cells), near(state.linked()))
         takes = decide(now, wide, True, limits, scratch, f"t{turn}")
         before = len(state.links)
@@ -243,17 +243,18 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
     return _finish(state)
 
 
-def touched_groups(new_links: DataFrame, limits: M.Limits, scratch: Scratch, name: str):
+def touched_groups(new_links: DataFrame, limits: M.Limits):
     """A filter that keeps rows of groups in which ``new_links`` changed something.
 
-    The group list is broadcast when it is measured to be short. While it is long most groups are
-    in it, so a semi join would shuffle everything to drop little, and the filter keeps all rows.
+    The group list is broadcast when there are few new links (a count from Parquet footers). While
+    there are many, most groups are among them, so a semi join would shuffle everything to drop
+    little, and the filter keeps all rows.
     """
-    keys = ["SettlementDate", "Code_CDP"]
-    groups = scratch.store(new_links.where("Code_CDP IS NOT NULL").select(*keys).distinct(), name)
-    if groups.count() > limits.small_list:
+    if new_links.count() > limits.small_list:
         return lambda df: df
-    return lambda df: df.join(F.broadcast(groups), keys, "left_semi")
+    keys = ["SettlementDate", "Code_CDP"]
+    groups = F.broadcast(new_links.where("Code_CDP IS NOT NULL").select(*keys).distinct())
+    return lambda df: df.join(groups, keys, "left_semi")
 
 
 def _finish(state: LinkState) -> DataFrame:

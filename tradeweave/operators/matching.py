@@ -38,8 +38,13 @@ class Limits:
     small_list: int = 100_000    # measured row count up to which a key list is broadcast
 
 
-def _amount(count: str, qty: str = "Quantity"):
-    return (F.col(count).cast("decimal(17,0)") * F.col(qty).cast(_QTY)).cast(_AMOUNT)
+def _amount(count: str) -> str:
+    """SQL for a count of instructions times the exact quantity ``q`` of their cell."""
+    return f"CAST(q * CAST({count} AS DECIMAL(17,0)) AS {_AMOUNT})"
+
+
+def _with_exact_quantity(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("q", F.col("Quantity").cast(_QTY))
 
 
 def walk_sql(cells: str, budget: str) -> str:
@@ -63,12 +68,16 @@ def walk_sql(cells: str, budget: str) -> str:
 
 def small_groups(cells: DataFrame, need_supply: bool) -> DataFrame:
     """Takes per cell for groups whose cells fit one bounded array."""
-    packed = F.struct(F.col("Quantity").alias("key"), F.col("have"), F.col("want"))
+    packed = F.struct(F.col("Quantity").alias("key"), "q", "have", "want")
+    # Cells of a group are few and already summed, so they are brought together directly; partial
+    # lists per task would only be serialised twice.
     groups = (
-        cells.groupBy(*GROUP)
+        _with_exact_quantity(cells)
+        .repartition(*GROUP)
+        .groupBy(*GROUP)
         .agg(
-            F.sum(_amount("have")).alias("supply"),
-            F.sum(_amount("want")).alias("demand"),
+            F.sum(F.expr(_amount("have"))).alias("supply"),
+            F.sum(F.expr(_amount("want"))).alias("demand"),
             F.sum("have").alias("n_have"),
             F.sum("want").alias("n_want"),
             F.sort_array(F.collect_list(packed), asc=False).alias("cells"),
@@ -78,13 +87,10 @@ def small_groups(cells: DataFrame, need_supply: bool) -> DataFrame:
         .where("covered OR n_have > 0")
     )
     left_over = (
-        f"aggregate(cells, CAST(0 AS {_AMOUNT}), (s, c) -> CAST(s + CAST(c.key AS {_QTY}) * "
+        f"aggregate(cells, CAST(0 AS {_AMOUNT}), (s, c) -> CAST(s + c.q * "
         f"CAST(c.have - least(c.have, c.want) AS DECIMAL(17,0)) AS {_AMOUNT}))"
     )
-    unpaired = (
-        f"transform(cells, c -> named_struct('q', CAST(c.key AS {_QTY}),"
-        " 'n', c.want - least(c.have, c.want)))"
-    )
+    unpaired = "transform(cells, c -> named_struct('q', c.q, 'n', c.want - least(c.have, c.want)))"
     some_left = "exists(cells, c -> c.have > c.want)"
     walked = groups.withColumn(
         "picks",
@@ -117,15 +123,15 @@ def large_groups(cells: DataFrame, need_supply: bool, limits: Limits, scratch: S
     walked. The remainder at least halves between openings that end a run, so the number of rounds
     grows with the logarithm of the supply, not with the group.
     """
+    cells = _with_exact_quantity(cells)
     totals = (
         cells.groupBy(*GROUP)
         .agg(
-            F.sum(_amount("have")).alias("supply"),
-            F.sum(_amount("want")).alias("demand"),
+            F.sum(F.expr(_amount("have"))).alias("supply"),
+            F.sum(F.expr(_amount("want"))).alias("demand"),
             F.sum("have").alias("n_have"),
             F.sum("want").alias("n_want"),
-            F.sum(F.expr(f"CAST(CAST(Quantity AS {_QTY}) * CAST(greatest(have - want, 0) AS DECIMAL(17,0))"
-                         f" AS {_AMOUNT})")).alias("t"),
+            F.sum(F.expr(_amount("greatest(have - want, 0)"))).alias("t"),
             F.sum(F.expr("greatest(have - want, 0)")).alias("n_left"),
         )
         .where("n_want > 0")
@@ -136,8 +142,7 @@ def large_groups(cells: DataFrame, need_supply: bool, limits: Limits, scratch: S
     totals = scratch.store(totals, f"{name}-totals")
     verdicts = cells.join(totals, GROUP)  # adaptive execution splits a skewed group here
     ranked = (
-        verdicts.withColumn("q", F.col("Quantity").cast(_QTY))
-        .withColumn("n", F.expr("want - least(have, want)"))
+        verdicts.withColumn("n", F.expr("want - least(have, want)"))
         .withColumn("_key", -F.col("Quantity"))
         .repartitionByRange(*GROUP, "_key")
         .sortWithinPartitions(*GROUP, "_key")
@@ -148,7 +153,7 @@ def large_groups(cells: DataFrame, need_supply: bool, limits: Limits, scratch: S
     open_cells = ranked.where("NOT covered AND n > 0 AND n_left > 0")
     blocks = scratch.store(
         open_cells.groupBy(*GROUP, "block").agg(
-            F.min("q").alias("q_min"), F.sum(F.expr(f"CAST(q * n AS {_AMOUNT})")).alias("need")
+            F.min("q").alias("q_min"), F.sum(F.expr(_amount("n"))).alias("need")
         ),
         f"{name}-blocks",
     )
