@@ -13,7 +13,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tradeweave.operators.enrich import enrich  # noqa: E402
 from tradeweave.operators.fees import with_fees, with_values  # noqa: E402
-from tradeweave.operators.measures import measure, shown  # noqa: E402
+from tradeweave.operators.measures import measure, raw_block, shown, with_micros  # noqa: E402
 from tradeweave.operators.prepare import (  # noqa: E402
     keep_latest, prepare, quantity_crosstab, settled,
 )
@@ -134,8 +134,6 @@ def _kpi(*keys: str, where: str = "true") -> Callable[[SparkSession, str], DataF
 
 
 def _kpi_by_client(spark: SparkSession, sf: str) -> DataFrame:
-    from tradeweave.operators.measures import raw_block, with_micros
-
     rows = Workbench.of(spark, sf).detail().where("CDPSafeKeepingAccount <> ''")
     return (
         with_micros(rows).groupBy("SettlementDate", "Sender")
@@ -148,8 +146,8 @@ def _top(dim: str, agent: bool = False) -> Callable[[SparkSession, str], DataFra
     def run(spark: SparkSession, sf: str) -> DataFrame:
         bench = Workbench.of(spark, sf)
         parts = R.cube(bench.detail(), [], False, [dim])
-        return R.ranked(parts, [], dim).select(
-            "segment", dim, *(["agent"] if agent else []), "ord", *shown()
+        return R.ranked(parts, [], [dim]).select(
+            "segment", F.col("name").alias(dim), *(["agent"] if agent else []), "ord", *shown()
         )
 
     return run

@@ -7,10 +7,14 @@ Stages, per settlement date:
 3. turnarounds: linked subsequent rows act as supply for open ones of the opposite side in their
    group, followed by reference matching, until a turnaround links nothing.
 
-The loop state is narrow and lives in Parquet under the shared folder. Each turnaround decides on the
-cell histogram, not on rows, and only for groups in which the previous step linked something: any
-other group would answer as before, with nothing. References are propagated from the new links only.
-All dates advance together; a date that links nothing has no touched group and drops out by itself.
+The loop state is narrow and lives in Parquet under the shared folder: open rows, a histogram of the
+groups that still have open rows, and the links of each step. A turnaround decides on the histogram,
+not on rows, and only for groups in which the previous step linked something: any other group would
+answer as before, with nothing. References are propagated from the new links only. While steps link
+many rows, open rows are rewritten; once they link few, open rows and histogram stay as stored and the
+recent links are subtracted on the fly, so a long tail of turnarounds costs scans but no shuffle of
+the rows that will never be linked. All dates advance together; a date that links nothing has no
+touched group and drops out by itself.
 """
 
 from __future__ import annotations
@@ -104,23 +108,23 @@ def first_pass_cells(cells: DataFrame) -> DataFrame:
     )
 
 
-def turnaround_cells(cells: DataFrame, linked: DataFrame) -> DataFrame:
-    """Histogram after links: a linked row stops asking and supplies the opposite side."""
-    base = cells.where("later_rows > 0").select(
-        *M.CELL, F.lit(0).cast("bigint").alias("have"), F.col("later_rows").alias("want")
+def moved_cells(linked: DataFrame) -> DataFrame:
+    """Histogram changes: a linked row stops asking and supplies the opposite side of its group."""
+    sides = F.array(
+        F.struct(F.col("side").alias("side"), F.lit(0).alias("have"), F.lit(-1).alias("want")),
+        F.struct(_opposite("side").alias("side"), F.lit(1).alias("have"), F.lit(0).alias("want")),
     )
-    moved = linked.where("Code_CDP IS NOT NULL AND Quantity IS NOT NULL").select(
-        "SettlementDate", "Code_CDP", "Quantity",
-        F.explode(F.array(
-            F.struct(F.col("side").alias("side"), F.lit(0).alias("have"), F.lit(-1).alias("want")),
-            F.struct(_opposite("side").alias("side"), F.lit(1).alias("have"), F.lit(0).alias("want")),
-        )).alias("m"),
-    ).select("SettlementDate", "Code_CDP", "m.side", "Quantity",
-             F.col("m.have").cast("bigint").alias("have"), F.col("m.want").cast("bigint").alias("want"))
     return (
-        base.unionByName(moved)
-        .groupBy(*M.CELL)
-        .agg(F.sum("have").alias("have"), F.sum("want").alias("want"))
+        linked.where("Code_CDP IS NOT NULL AND Quantity IS NOT NULL")
+        .select("SettlementDate", "Code_CDP", "Quantity", F.explode(sides).alias("m"))
+        .select("SettlementDate", "Code_CDP", "m.side", "Quantity",
+                F.col("m.have").cast("bigint").alias("have"), F.col("m.want").cast("bigint").alias("want"))
+    )
+
+
+def later_cells(cells: DataFrame) -> DataFrame:
+    return cells.where("later_rows > 0").select(
+        *M.CELL, F.lit(0).cast("bigint").alias("have"), F.col("later_rows").alias("want")
     )
 
 
@@ -129,7 +133,7 @@ def _label(total: str, single: str) -> Column:
 
 
 class LinkState:
-    """Open rows and links so far, each a stored table."""
+    """Open rows, histogram and links so far, each a stored table."""
 
     schema = T.StructType([
         T.StructField("SettlementDate", T.IntegerType()),
@@ -141,10 +145,14 @@ class LinkState:
         T.StructField("comments", T.StringType()),
     ])
 
-    def __init__(self, scratch: Scratch):
-        self.scratch = scratch
-        self.open: DataFrame | None = None
+    def __init__(self, scratch: Scratch, limits: M.Limits, rows: DataFrame):
+        self.scratch, self.limits = scratch, limits
+        self.rows = rows          # open rows as last written
+        self.rows_at = 0          # number of link tables already taken out of them
+        self.cells: DataFrame | None = None   # have/want of groups that were open when written
+        self.cells_at = 0
         self.links: list[str] = []
+        self.sizes: list[int] = []
 
     def _read(self, *paths: str) -> DataFrame:
         spark = self.scratch.spark
@@ -153,36 +161,68 @@ class LinkState:
     def linked(self, since: int = 0) -> DataFrame:
         return self._read(*self.links[since:])
 
-    def split(self, tagged: DataFrame, name: str) -> bool:
-        """Store rows with and without a comment apart; true if any row was linked."""
-        path = self.scratch.at(name)
-        (
-            tagged.select(*self.schema.names)
-            .withColumn("is_linked", F.col("comments").isNotNull())
-            .write.partitionBy("is_linked").parquet(path)
-        )
+    def few(self, since: int) -> bool:
+        """Whether the links since then are few enough to broadcast (counted, not estimated)."""
+        return sum(self.sizes[since:]) <= self.limits.small_list
+
+    def open(self) -> DataFrame:
+        if self.rows_at == len(self.links):
+            return self.rows
+        gone = self.linked(self.rows_at).select("SettlementDate", "row_id")
+        if self.few(self.rows_at):
+            gone = F.broadcast(gone)
+        return self.rows.join(gone, ["SettlementDate", "row_id"], "left_anti")
+
+    def store(self, tagged: DataFrame, name: str, rewrite: bool) -> bool:
+        """Store the rows that got a comment, and on ``rewrite`` the others as the new open rows.
+
+        True if any row was linked.
+        """
+        spark, path = self.scratch.spark, self.scratch.at(name)
+        rows = tagged.select(*self.schema.names).withColumn("is_linked", F.col("comments").isNotNull())
+        if not rewrite:
+            rows = rows.where("is_linked")
+        rows.write.partitionBy("is_linked").parquet(path)
         # a partition folder exists exactly when some row fell into it
         rest, hits = (f"{path}/is_linked={v}" for v in ("false", "true"))
-        self.open = self._read(*[p for p in (rest,) if path_exists(self.scratch.spark, p)]).drop("comments")
-        if not path_exists(self.scratch.spark, hits):
-            return False
-        self.links.append(hits)
-        return True
+        found = path_exists(spark, hits)
+        if found:
+            self.links.append(hits)
+            self.sizes.append(self._read(hits).count())  # from Parquet footers
+        if rewrite:
+            self.rows = self._read(*[p for p in (rest,) if path_exists(spark, p)]).drop("comments")
+            self.rows_at = len(self.links)
+        return found
+
+    def histogram(self) -> DataFrame:
+        if self.cells_at == len(self.links):
+            return self.cells
+        return (
+            self.cells.unionByName(moved_cells(self.linked(self.cells_at)))
+            .groupBy(*M.CELL).agg(F.sum("have").alias("have"), F.sum("want").alias("want"))
+        )
+
+    def compact(self, name: str) -> None:
+        """Rewrite the histogram, keeping only groups that still have an open row."""
+        keys = ["SettlementDate", "Code_CDP"]
+        alive = self.open().where("Code_CDP IS NOT NULL").select(*keys).distinct()
+        kept = self.histogram().join(alive, keys, "left_semi").where("have > 0 OR want > 0")
+        self.cells = self.scratch.store(kept, name)
+        self.cells_at = len(self.links)
 
 
-def tag_by_quantity(state: LinkState, takes: DataFrame, shape: Shape, limits: M.Limits,
+def tag_by_quantity(rows: DataFrame, takes: DataFrame, shape: Shape, limits: M.Limits,
                     total: str, single: str) -> DataFrame:
-    rows = state.open.select(*_STATE)
-    picked = M.select_rows(rows, takes, shape.hot_cells, limits)
+    picked = M.select_rows(rows.select(*_STATE), takes, shape.hot_cells, limits)
     return picked.withColumn("comments", _label(total, single)).select(*_STATE, "comments")
 
 
-def tag_by_reference(state: LinkState, refs: DataFrame, label: str) -> DataFrame:
+def tag_by_reference(rows: DataFrame, refs: DataFrame, label: str) -> DataFrame:
     """Open rows whose reference (null matching null) is among ``refs`` of the same date."""
     r = refs.select(
         F.col("SettlementDate").alias("_d"), F.col(_REF).alias("_r")
     ).distinct().withColumn("comments", F.lit(label))
-    o = state.open.select(*_STATE)
+    o = rows.select(*_STATE)
     on = (o["SettlementDate"] == r["_d"]) & o[_REF].eqNullSafe(r["_r"])
     # at most one partner per row, so this left join streams the rows and adaptive execution can
     # split a reference that holds a large share of them
@@ -199,7 +239,6 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
 
     ``upto`` stops after ``total``, ``individual``, ``reference`` or (default) ``turnaround``.
     """
-    state = LinkState(scratch)
     cells = scratch.store(base_cells(prepared), "cells")
     shape = measure_shape(cells, limits)
     wide = None
@@ -210,48 +249,44 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
             "wide",
         )
 
-    state.open = open_rows(prepared)
+    state = LinkState(scratch, limits, open_rows(prepared))
     takes = decide(first_pass_cells(cells), wide, False, limits, scratch, "first")
     if upto == "total":
         takes = takes.where("covered")
-    tagged = tag_by_quantity(state, takes, shape, limits, S.TOTAL_LINK, S.INDIVIDUAL_LINK)
-    found = state.split(tagged, "q1")
-    if upto in ("total", "individual"):
+    tagged = tag_by_quantity(state.open(), takes, shape, limits, S.TOTAL_LINK, S.INDIVIDUAL_LINK)
+    if not state.store(tagged, "q1", rewrite=True) or upto in ("total", "individual"):
         return _finish(state)
-
-    if found:
-        state.split(tag_by_reference(state, state.linked(), S.REFERENCE_LINK), "r1")
-    if upto == "reference" or not state.links:
+    tagged = tag_by_reference(state.open(), state.linked(), S.REFERENCE_LINK)
+    state.store(tagged, "r1", rewrite=True)
+    if upto == "reference":
         return _finish(state)
 
+    state.cells = later_cells(cells)
+    state.compact("cells1")
     turn, before = 1, 0
     while True:
         if turn > max_rounds:
             raise RuntimeError(f"linking did not settle within {max_rounds} rounds")
         turn += 1
-        near = touched_groups(state.linked(since=before), limits)
-        now = turnaround_cells(near(cells), near(state.linked()))
-        takes = decide(now, wide, True, limits, scratch, f"t{turn}")
+        few = state.few(before)
+        near = touched_groups(state.linked(before)) if few else lambda df: df
+        takes = decide(near(state.histogram()), wide, True, limits, scratch, f"t{turn}")
         before = len(state.links)
         tagged = tag_by_quantity(
-            state, takes, shape, limits, _turn(S.TOTAL_LINK, turn), _turn(S.INDIVIDUAL_LINK, turn)
+            near(state.open()), takes, shape, limits, _turn(S.TOTAL_LINK, turn), _turn(S.INDIVIDUAL_LINK, turn)
         )
-        if not state.split(tagged, f"q{turn}"):
+        if not state.store(tagged, f"q{turn}", rewrite=not few):
             break
-        new_refs = state.linked(since=before)
-        state.split(tag_by_reference(state, new_refs, _turn(S.REFERENCE_LINK, turn)), f"r{turn}")
+        rewrite = not state.few(state.rows_at) or not few
+        tagged = tag_by_reference(state.open(), state.linked(before), _turn(S.REFERENCE_LINK, turn))
+        state.store(tagged, f"r{turn}", rewrite)
+        if not state.few(state.cells_at):
+            state.compact(f"cells{turn}")
     return _finish(state)
 
 
-def touched_groups(new_links: DataFrame, limits: M.Limits):
-    """A filter that keeps rows of groups in which ``new_links`` changed something.
-
-    The group list is broadcast when there are few new links (a count from Parquet footers). While
-    there are many, most groups are among them, so a semi join would shuffle everything to drop
-    little, and the filter keeps all rows.
-    """
-    if new_links.count() > limits.small_list:
-        return lambda df: df
+def touched_groups(new_links: DataFrame):
+    """A filter that keeps rows of groups in which ``new_links``, counted to be few, changed something."""
     keys = ["SettlementDate", "Code_CDP"]
     groups = F.broadcast(new_links.where("Code_CDP IS NOT NULL").select(*keys).distinct())
     return lambda df: df.join(groups, keys, "left_semi")
