@@ -27,7 +27,7 @@ def measure(dim: DataFrame, keys: list[str]) -> Size:
 
 def attach(facts: DataFrame, dim: DataFrame, keys: list[str], name: str, strict: bool = True,
            broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS) -> DataFrame:
-    """``facts`` left join ``dim``.
+    """``facts`` left join ``dim``, a stored table.
 
     The dimension is broadcast only when its measured row count is small. Otherwise it is a shuffle
     join, in which adaptive execution splits a key that holds a large share of the facts; where that

@@ -39,13 +39,22 @@ def _opposite(side: str | Column) -> Column:
     return F.when(c == "B", "S").when(c == "S", "B")
 
 
+def by_quantity() -> Column:
+    return not_market_transfer() & F.col("Quantity").isNotNull()
+
+
 def open_rows(prepared: DataFrame) -> DataFrame:
-    """Subsequent rows without a verdict. Those outside quantity linking get a null group."""
+    """Subsequent rows without a verdict.
+
+    Rows outside quantity linking get no group, and in place of the side a value that spreads them
+    over tasks; only their reference can link them.
+    """
     return prepared.where((F.col("subsequent") == "1") & (F.col("flag") == "0")).select(
         "SettlementDate",
         "row_id",
-        F.when(not_market_transfer(), F.col("Code_CDP")).alias("Code_CDP"),
-        F.col("BuySellIndicator").alias("side"),
+        F.when(by_quantity(), F.col("Code_CDP")).alias("Code_CDP"),
+        F.when(by_quantity(), F.col("BuySellIndicator"))
+        .otherwise(F.pmod("row_id", F.lit(4096)).cast("string")).alias("side"),
         "Quantity",
         _REF,
     )
@@ -55,8 +64,7 @@ def base_cells(prepared: DataFrame) -> DataFrame:
     """Instructions per group, side of the open row, and quantity; ``named`` = has an account."""
     later = F.col("subsequent") == "1"
     return (
-        prepared.where((F.col("subsequent") != S.OTC_BOND) & not_market_transfer())
-        .where(F.col("Quantity").isNotNull())
+        prepared.where((F.col("subsequent") != S.OTC_BOND) & by_quantity())
         .select(
             "SettlementDate",
             "Code_CDP",
@@ -205,7 +213,10 @@ class LinkState:
     def compact(self, name: str) -> None:
         """Rewrite the histogram, keeping only groups that still have an open row."""
         keys = ["SettlementDate", "Code_CDP"]
-        alive = self.open().where("Code_CDP IS NOT NULL").select(*keys).distinct()
+        # stored first: adaptive execution splits a skewed join only between plain shuffles
+        alive = self.scratch.store(
+            self.open().where("Code_CDP IS NOT NULL").select(*keys).distinct(), f"{name}-alive"
+        )
         kept = self.histogram().join(alive, keys, "left_semi").where("have > 0 OR want > 0")
         self.cells = self.scratch.store(kept, name)
         self.cells_at = len(self.links)

@@ -12,7 +12,7 @@ from tradeweave.operators.linking import apply_links, link
 from tradeweave.operators.prepare import final_labels, is_bond, prepare, settled
 from tradeweave.session import Scratch
 from tradeweave.sinks.exports import write_detail
-from tradeweave.sinks.tables import append_new_dates, replace_dates
+from tradeweave.sinks.tables import append_new_dates, replace_dates, stored_dates
 from tradeweave.sources.files import require_rows
 from tradeweave.sources.tables import DETAIL, FACTS, PRICES, RATES, Warehouse
 
@@ -52,14 +52,17 @@ def daily_detailed_report(house: Warehouse, days: int | list[int], folder: str |
     An automatic run keeps dates that are already stored; a manual run replaces them.
     """
     check_inputs(house, days)
+    days = [days] if isinstance(days, int) else list(days)
     scratch = Scratch(house.spark, "link")
-    result = scratch.store(detail(house, days, scratch, limits), "detail")
+    result = detail(house, days, scratch, limits)
     path = house.path(DETAIL)
+    held = set() if manual else stored_dates(house.spark, path)
     if manual:
         replace_dates(result, path)
-    else:
+    elif set(days) - held:
         append_new_dates(result, path)
-    if folder:
-        for day in [days] if isinstance(days, int) else days:
-            write_detail(result.where(F.col("SettlementDate") == day), folder, day, manual)
+    for day in days if folder else []:
+        # a stored day is read back; a day kept from an earlier run still exports its fresh result
+        rows = result if day in held else house.read(DETAIL).select(*result.columns)
+        write_detail(rows.where(F.col("SettlementDate") == day), folder, day, manual)
     scratch.drop()
