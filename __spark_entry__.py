@@ -15,13 +15,15 @@ from tradeweave.operators.enrich import enrich  # noqa: E402
 from tradeweave.operators.fees import with_fees, with_values  # noqa: E402
 from tradeweave.operators.measures import measure, raw_block, shown, with_micros  # noqa: E402
 from tradeweave.operators.prepare import (  # noqa: E402
-    keep_latest, prepare, quantity_crosstab, settled,
+    keep_latest, number_bonds_last, prepare, quantity_crosstab, quantity_totals, settled,
 )
 from tradeweave.plans import detailed as D  # noqa: E402
 from tradeweave.plans import summaries as R  # noqa: E402
 from tradeweave.plans.workbench import Workbench  # noqa: E402
-from tradeweave.sinks.exports import off_exchange_only  # noqa: E402
+from tradeweave.sinks.exports import off_exchange_only, write_csv  # noqa: E402
 from tradeweave.sinks.tables import append_new_dates, recent, replace_dates  # noqa: E402
+from tradeweave.schemas import INSTRUCTION_COLUMNS  # noqa: E402
+from tradeweave.sources import files  # noqa: E402
 from tradeweave.sources.files import with_default_rate  # noqa: E402
 from tradeweave.sources.star_schema import Star  # noqa: E402
 import tradeweave_oracle  # noqa: E402
@@ -77,6 +79,72 @@ def _retention(spark: SparkSession, sf: str) -> DataFrame:
     return recent(facts, 20000601).groupBy("SettlementDate").agg(F.count("*").alias("instructions"))
 
 
+def _row_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    bench = Workbench.of(spark, sf)
+    facts = settled(bench.loaded().facts()).select("SettlementDate", "row_id", "TransactionType")
+    return number_bonds_last(facts, bench.scratch("numbers")).select("SettlementDate", "row_id", "row_no")
+
+
+def _instruction_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Write all instructions as the header-less feed, in row order, and read them back."""
+    bench = Workbench.of(spark, sf)
+    facts, scratch = bench.loaded().facts(), bench.scratch("feed")
+    fields = [F.col(c) if c in facts.columns else F.lit("").alias(c) for c in INSTRUCTION_COLUMNS]
+    (
+        facts.repartitionByRange("SettlementDate", "row_id").sortWithinPartitions("SettlementDate", "row_id")
+        .select(*fields, F.lit("x").alias("extra")).write.option("emptyValue", "").csv(scratch.at("csv"))
+    )
+    return files.read_instructions(spark, scratch.at("csv"), scratch).select(
+        "row_id", "SettlementDate", "BuySellIndicator", "TransactionType", "Sender", "ISIN",
+        "CDPSafeKeepingAccount", "Quantity", "SettlementAmt", "PSMSMatchedReference", "TransferType",
+    )
+
+
+def _write_feeds(rows: DataFrame, prefix: str, line: str, path: str) -> None:
+    """Dated pipe files with a header and a trailer line each, as the providers send them."""
+    body = rows.select("SettlementDate", F.lit(1).alias("_kind"), F.expr(line).alias("value"))
+    ends = rows.select("SettlementDate").distinct().select(
+        "SettlementDate", F.explode(F.array(F.lit(0), F.lit(2))).alias("_kind"), F.lit("END|").alias("value"))
+    order = ["feed", "_kind", "value"]  # leads with the partition column, so the writer keeps it
+    named = F.concat(F.lit(prefix), "SettlementDate", F.lit(".txt"))
+    (
+        body.unionByName(ends).withColumn("feed", named)
+        .repartitionByRange(*order).sortWithinPartitions(*order)
+        .select("value", "feed").write.partitionBy("feed").text(path)
+    )
+
+
+def _rate_files(spark: SparkSession, sf: str) -> DataFrame:
+    scratch = Workbench.of(spark, sf).scratch("feed")
+    line = "concat_ws('|', '19000101', Currency, CAST(Rate AS STRING), 'more')"
+    _write_feeds(Star(spark, sf).rates(), "EXCHANGE_RATE_", line, scratch.at("fx"))
+    return files.read_rates(spark, scratch.at("fx"), scratch)
+
+
+def _price_files(spark: SparkSession, sf: str) -> DataFrame:
+    bench = Workbench.of(spark, sf)
+    scratch = bench.scratch("feed")
+    line = "concat_ws('|', '19000101', Code, SecurityDescription, CAST(Price AS STRING), Currency, ISIN)"
+    _write_feeds(bench.loaded().read("Closing_price"), "LAST_DONE_PRICE_", line, scratch.at("px"))
+    return files.read_prices(spark, scratch.at("px"), scratch).select(
+        "SettlementDate", "Code", "SecurityDescription", "Price", "ISIN")
+
+
+def _detail_csv(spark: SparkSession, sf: str) -> DataFrame:
+    bench = Workbench.of(spark, sf)
+    path = bench.scratch("csv").at("detail")
+    detail = bench.detail()
+    write_csv(detail, path)
+    back = spark.read.schema(detail.schema).option("header", True).csv(path)
+    return back.groupBy("SettlementDate", "flag").agg(
+        F.count("*").alias("instructions"), F.count("NewFee").alias("charged"),
+        F.sum("row_id").alias("id_sum"))
+
+
+def _quantity_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return quantity_totals(prepare(settled(Workbench.of(spark, sf).loaded().facts())))
+
+
 def _crosstab(spark: SparkSession, sf: str) -> DataFrame:
     return quantity_crosstab(prepare(settled(Workbench.of(spark, sf).loaded().facts())))
 
@@ -171,9 +239,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "prep": _prep,
         "latest_date": _latest_date,
         "fx_default": _fx_default,
+        "instruction_csv": _instruction_csv,
+        "rate_files": _rate_files,
+        "price_files": _price_files,
+        "row_numbers": _row_numbers,
         "load_once": _load_once,
         "replace_date": _replace_date,
         "retention": _retention,
+        "quantity_totals": _quantity_totals,
         "crosstab": _crosstab,
         "total_link": _linking("total"),
         "individual_link": _linking("individual"),
@@ -186,6 +259,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fee_gain": _fee("FeeGain"),
         "detailed": _detailed,
         "off_exchange_detail": _off_exchange,
+        "detail_csv": _detail_csv,
         "kpi_total": _kpi(),
         "kpi_first": _kpi(where="subsequent = '0'"),
         "kpi_subsequent": _kpi(where="subsequent = '1'"),

@@ -86,12 +86,12 @@ def test_rows_are_numbered_per_day_across_many_tasks(spark):
 
 def test_rates_and_prices(spark, feeds):
     s = Scratch(spark, "test")
-    fx = files.with_default_rate(files.read_rates(spark, f"{feeds}/fx", 20200102, s))
+    fx = files.with_default_rate(files.read_rates(spark, files.rate_file(f"{feeds}/fx", 20200102), s))
     assert sorted(map(tuple, fx.collect()), key=str) == [
         (20200102, "HKD", None), (20200102, "THB", S.DEFAULT_RATE), (20200102, "USD", 1.25)]
     quoted = spark.createDataFrame([(1, "THB", 0.5)], "SettlementDate int, Currency string, Rate double")
     assert [tuple(r) for r in files.with_default_rate(quoted).collect()] == [(1, "THB", 0.5)]
-    px = files.read_prices(spark, f"{feeds}/px", 20200102, s).orderBy("Code").collect()
+    px = files.read_prices(spark, files.price_file(f"{feeds}/px", 20200102), s).orderBy("Code").collect()
     assert [(r.Code, r.Price, r.ISIN) for r in px] == [
         ("C1", 2.5, "I1"), ("C2", None, "I2"), ("C3", 1.0, ""), ("C4", 3.0, None)]
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeweave import schemas as S
+from tradeweave.operators.numbering import number_rows
+from tradeweave.session import Scratch
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -67,6 +69,19 @@ def prepare(df: DataFrame) -> DataFrame:
     )
 
 
+def number_bonds_last(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """``row_no`` per date: bond trades count on after all other rows, each in row order."""
+    return number_rows(df.withColumn("_bond", is_bond()), "SettlementDate", ["_bond", "row_id"],
+                       "row_no", scratch, "bonds-last").drop("_bond")
+
+
+def quantity_totals(prepared: DataFrame) -> DataFrame:
+    """Quantity per group and side of the rows that enter the first linking pass."""
+    return prepared.where(linkable()).groupBy("SettlementDate", "Code_CDP", "SubsequentBuySell").agg(
+        F.sum("Quantity").alias("TotalQuantity")
+    )
+
+
 def linkable() -> Column:
     """Rows that may enter the first linking pass, as a condition on a prepared frame."""
     return (F.col("subsequent") != S.OTC_BOND) & not_market_transfer() & has_account()

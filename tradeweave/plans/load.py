@@ -24,9 +24,9 @@ def load_feeds(house: Warehouse, instructions: str, rates: str, prices: str, tod
     if day is None:
         raise ValueError("no settled records in the instruction file")
     append_new_dates(keep_latest(facts, today), house.path(FACTS))
-    fx = files.with_default_rate(files.read_rates(spark, rates, day, scratch))
+    fx = files.with_default_rate(files.read_rates(spark, files.rate_file(rates, day), scratch))
     append_new_dates(files.stamped(fx), house.path(RATES), clustered=False)
-    last = files.read_prices(spark, prices, day, scratch)
+    last = files.read_prices(spark, files.price_file(prices, day), scratch)
     append_new_dates(files.stamped(last), house.path(PRICES), clustered=False)
     scratch.drop()
     return day

@@ -37,18 +37,22 @@ def _file_place() -> dict[str, Column]:
     }
 
 
-def _body_lines(spark: SparkSession, path: str, scratch: Scratch, name: str) -> DataFrame:
-    """Lines of each file without its first and last one.
+def _body_lines(spark: SparkSession, paths: str | list[str], scratch: Scratch, name: str) -> DataFrame:
+    """Lines of dated feeds without the first and last one of each; the date comes from the path.
 
-    Only two lines per file are looked for, as aggregates over places; nothing is sorted.
+    Only two lines per feed are looked for, as aggregates over places; nothing is sorted.
     """
-    lines = scratch.store(spark.read.text(path).withColumns(_file_place()), name)
-    place = F.struct("_block", "_seq")
-    ends = lines.groupBy("_file").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    lines = scratch.store(spark.read.text(paths).select("value", *[
+        c.alias(n) for n, c in _file_place().items()
+    ]), name)
+    day = F.regexp_extract("_file", r"_(\d{8})\.txt", 1).cast("int")
+    lines = lines.withColumn("SettlementDate", day)
+    place = F.struct("_file", "_block", "_seq")
+    ends = lines.groupBy("SettlementDate").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
     return (
-        lines.join(ends, "_file")
+        lines.join(F.broadcast(ends), "SettlementDate")  # one row per calendar day
         .where((place != F.col("_first")) & (place != F.col("_last")))
-        .select("value", "_file")
+        .select("value", "SettlementDate")
     )
 
 
@@ -57,21 +61,27 @@ def _fields(n: int) -> list[Column]:
     return [F.get(parts, F.lit(i)) for i in range(n)]
 
 
-def read_rates(spark: SparkSession, folder: str, day: int, scratch: Scratch) -> DataFrame:
-    """EXCHANGE_RATE_<day>.txt: second and third pipe field; the date is overwritten."""
+def rate_file(folder: str, day: int) -> str:
+    return f"{folder}/EXCHANGE_RATE_{day}.txt"
+
+
+def price_file(folder: str, day: int) -> str:
+    return f"{folder}/LAST_DONE_PRICE_{day}.txt"
+
+
+def read_rates(spark: SparkSession, paths: str | list[str], scratch: Scratch) -> DataFrame:
+    """Second and third pipe field of dated rate files; the file's own date field is not used."""
     _, currency, rate = _fields(3)
-    return _body_lines(spark, f"{folder}/EXCHANGE_RATE_{day}.txt", scratch, f"rates-{day}").select(
-        F.lit(day).alias("SettlementDate"),
-        F.trim(currency).alias("Currency"),
-        rate.try_cast("double").alias("Rate"),
+    return _body_lines(spark, paths, scratch, "rate-lines").select(
+        "SettlementDate", F.trim(currency).alias("Currency"), rate.try_cast("double").alias("Rate")
     )
 
 
-def read_prices(spark: SparkSession, folder: str, day: int, scratch: Scratch) -> DataFrame:
-    """LAST_DONE_PRICE_<day>.txt: six pipe fields; a non-numeric price or missing field is null."""
+def read_prices(spark: SparkSession, paths: str | list[str], scratch: Scratch) -> DataFrame:
+    """Six pipe fields of dated price files; a non-numeric price or missing field is null."""
     _, code, text, price, currency, isin = _fields(6)
-    return _body_lines(spark, f"{folder}/LAST_DONE_PRICE_{day}.txt", scratch, f"prices-{day}").select(
-        F.lit(day).alias("SettlementDate"),
+    return _body_lines(spark, paths, scratch, "price-lines").select(
+        "SettlementDate",
         code.alias("Code"),
         text.alias("SecurityDescription"),
         price.try_cast("double").alias("Price"),

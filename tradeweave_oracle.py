@@ -396,6 +396,18 @@ def oracle() -> dict[str, str]:
         " SettlementDate = (SELECT max(SettlementDate) FROM raw_psms WHERE Status = 'SETTLED'"
         " AND SettlementDate < 20010615) GROUP BY SettlementDate", RAW)
     q["fx_default"] = over("SELECT SettlementDate, Currency, Rate FROM rates", RATES)
+    q["instruction_csv"] = over(
+        "SELECT row_id, SettlementDate, BuySellIndicator, TransactionType, Sender, ISIN, CDPSafeKeepingAccount,"
+        " Quantity, SettlementAmt, PSMSMatchedReference, TransferType FROM raw_psms", RAW)
+    q["rate_files"] = over("SELECT SettlementDate, Currency, Rate FROM quoted", RATES)
+    q["price_files"] = (
+        f"SELECT DISTINCT {DAY} AS SettlementDate, 'S' || CAST(CAST(floor(p_partkey / 300.0) AS BIGINT) AS STRING)"
+        " AS Code, p_name || ' ' || p_brand AS SecurityDescription, p_retailprice AS Price,"
+        " 'I' || CAST(p_partkey AS STRING) AS ISIN FROM lineitem JOIN part ON l_partkey = p_partkey"
+        " WHERE p_partkey % 9 <> 0")
+    q["row_numbers"] = over(
+        "SELECT SettlementDate, row_id, row_number() OVER (PARTITION BY SettlementDate ORDER BY"
+        " TransactionType = 'DCSS', row_id) AS row_no FROM raw_psms WHERE Status = 'SETTLED'", RAW)
     q["load_once"] = over(
         "SELECT SettlementDate, count(*) AS instructions, CAST(sum(row_id) AS BIGINT) AS id_sum FROM raw_psms"
         " GROUP BY SettlementDate", RAW)
@@ -404,6 +416,10 @@ def oracle() -> dict[str, str]:
     q["retention"] = over(
         "SELECT SettlementDate, count(*) AS instructions FROM raw_psms WHERE SettlementDate >= 20000331"
         " GROUP BY SettlementDate", RAW)
+    q["quantity_totals"] = over(
+        "SELECT SettlementDate, Code_CDP, SubsequentBuySell, sum(Quantity) AS TotalQuantity FROM prep"
+        " WHERE subsequent <> 'DCSS' AND TransferType <> 'SBLT' AND CDPSafeKeepingAccount <> ''"
+        " GROUP BY ALL", RAW, PREP)
     q["crosstab"] = over(
         "SELECT SettlementDate, Code_CDP, " + ", ".join(
             f"coalesce(sum(Quantity) FILTER (WHERE SubsequentBuySell = '{s}'), CAST(0 AS DOUBLE)) AS"
@@ -426,6 +442,9 @@ def oracle() -> dict[str, str]:
     q["detailed"] = over(f"SELECT {', '.join(DETAIL_COLUMNS)} FROM output_daily", *charged)
     q["off_exchange_detail"] = over(
         f"SELECT {', '.join(_OFF)} FROM output_daily WHERE subsequent = '1' AND flag = 'Off-Exchange'", *charged)
+    q["detail_csv"] = over(
+        "SELECT SettlementDate, flag, count(*) AS instructions, count(NewFee) AS charged,"
+        " CAST(sum(row_id) AS BIGINT) AS id_sum FROM output_daily GROUP BY SettlementDate, flag", *charged)
     q["kpi_total"] = _kpi()
     q["kpi_first"] = _kpi(where="subsequent = '0'")
     q["kpi_subsequent"] = _kpi(where="subsequent = '1'")
