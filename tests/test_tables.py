@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeweave import schemas as S
+from tradeweave.__main__ import main
 from tradeweave.operators.numbering import number_rows
 from tradeweave.plans.detailed import daily_detailed_report
 from tradeweave.plans.load import cleanup, load_feeds
-from tradeweave.plans.summaries import daily_summary, monthly_summary, weekly_summary
+from tradeweave.plans.summaries import (
+    daily_summary, monthly_summary, weekly_summary, weekly_summary_report,
+)
 from tradeweave.session import Scratch
-from tradeweave.sinks.exports import write_summary
 from tradeweave.sinks.tables import append_new_dates, prune, recent, replace_dates, stored_dates
 from tradeweave.sources import files
 from tradeweave.sources.tables import ACCOUNTS, AGENTS, DETAIL, FACTS, PRICES, RATES, Warehouse
@@ -127,8 +129,9 @@ def test_daily_job_end_to_end(spark, feeds, house):
     long = daily_summary(house, 20200102)
     total = long.where("section = 'totals' AND ord = 1").first()
     assert total.instructions == 4 and total.SettlementDate == 20200102
-    write_summary(weekly_summary(house, 20200101, 20200107), f"{out}/weekly")
-    assert len([d for d in os.listdir(f"{out}/weekly") if d.startswith("sheet=")]) == 3
+    weekly = weekly_summary_report(house, 20200101, 20200107, out, manual=True)
+    assert weekly == f"{out}/Manual_Run_Weekly_Summary_Report_20200101_to_20200107"
+    assert len([d for d in os.listdir(weekly) if d.startswith("sheet=")]) == 3
     monthly = monthly_summary(house, 20200101, 20200131)
     assert monthly.select("sheet").distinct().count() == 6
     empty = weekly_summary(house, 20190101, 20190107).where("ord = 1").collect()
@@ -167,3 +170,11 @@ def test_cleanup_leaves_rates_and_prices(spark, tmp_path):
         append_new_dates(days(spark, (20200101, 1), (20200401, 1)), h.path(t))
     assert cleanup(h, 20200402) == {FACTS: [20200101], DETAIL: [20200101]}
     assert stored_dates(spark, h.path(RATES)) == stored_dates(spark, h.path(PRICES)) == {20200101, 20200401}
+
+
+def test_command_line_cleanup(spark, tmp_path, capsys):
+    h = Warehouse(spark, str(tmp_path))
+    append_new_dates(days(spark, (20200101, 1), (20200401, 1)), h.path(FACTS))
+    main(["cleanup", "--root", str(tmp_path), "--today", "20200402"])
+    assert "20200101" in capsys.readouterr().out
+    assert stored_dates(spark, h.path(FACTS)) == {20200401}
