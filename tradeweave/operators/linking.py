@@ -202,11 +202,13 @@ class LinkState:
             self.rows_at = len(self.links)
         return found
 
-    def histogram(self) -> DataFrame:
+    def histogram(self, near=lambda df: df) -> DataFrame:
+        """Current have/want per cell of the groups that ``near`` keeps."""
+        cells = near(self.cells)
         if self.cells_at == len(self.links):
-            return self.cells
+            return cells
         return (
-            self.cells.unionByName(moved_cells(self.linked(self.cells_at)))
+            cells.unionByName(moved_cells(near(self.linked(self.cells_at))))
             .groupBy(*M.CELL).agg(F.sum("have").alias("have"), F.sum("want").alias("want"))
         )
 
@@ -229,15 +231,25 @@ def tag_by_quantity(rows: DataFrame, takes: DataFrame, shape: Shape, limits: M.L
 
 
 def tag_by_reference(rows: DataFrame, refs: DataFrame, label: str) -> DataFrame:
-    """Open rows whose reference (null matching null) is among ``refs`` of the same date."""
+    """Open rows, marked where their reference (null matching null) is among ``refs`` of the same date."""
     r = refs.select(
         F.col("SettlementDate").alias("_d"), F.col(_REF).alias("_r")
     ).distinct().withColumn("comments", F.lit(label))
     o = rows.select(*_STATE)
-    on = (o["SettlementDate"] == r["_d"]) & o[_REF].eqNullSafe(r["_r"])
     # at most one partner per row, so this left join streams the rows and adaptive execution can
     # split a reference that holds a large share of them
-    return o.join(r, on, "left").select(*_STATE, "comments")
+    return o.join(r, _same_reference(o, r), "left").select(*_STATE, "comments")
+
+
+def only_by_reference(rows: DataFrame, refs: DataFrame, label: str) -> DataFrame:
+    """Just the marked rows, for ``refs`` counted to be few enough to broadcast."""
+    r = F.broadcast(refs.select(F.col("SettlementDate").alias("_d"), F.col(_REF).alias("_r")))
+    o = rows.select(*_STATE)
+    return o.join(r, _same_reference(o, r), "left_semi").withColumn("comments", F.lit(label))
+
+
+def _same_reference(o: DataFrame, r: DataFrame) -> Column:
+    return (o["SettlementDate"] == r["_d"]) & o[_REF].eqNullSafe(r["_r"])
 
 
 def _turn(text: str, n: int) -> str:
@@ -281,16 +293,17 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
         turn += 1
         few = state.few(before)
         near = touched_groups(state.linked(before)) if few else lambda df: df
-        takes = decide(near(state.histogram()), wide, True, limits, scratch, f"t{turn}")
+        takes = decide(state.histogram(near), wide, True, limits, scratch, f"t{turn}")
         before = len(state.links)
         tagged = tag_by_quantity(
             near(state.open()), takes, shape, limits, _turn(S.TOTAL_LINK, turn), _turn(S.INDIVIDUAL_LINK, turn)
         )
         if not state.store(tagged, f"q{turn}", rewrite=not few):
             break
-        rewrite = not state.few(state.rows_at) or not few
-        tagged = tag_by_reference(state.open(), state.linked(before), _turn(S.REFERENCE_LINK, turn))
-        state.store(tagged, f"r{turn}", rewrite)
+        keep = state.few(min(before, state.rows_at))
+        tag = only_by_reference if keep else tag_by_reference
+        tagged = tag(state.open(), state.linked(before), _turn(S.REFERENCE_LINK, turn))
+        state.store(tagged, f"r{turn}", rewrite=not keep)
         if not state.few(state.cells_at):
             state.compact(f"cells{turn}")
     return _finish(state)
@@ -299,7 +312,7 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
 def touched_groups(new_links: DataFrame):
     """A filter that keeps rows of groups in which ``new_links``, counted to be few, changed something."""
     keys = ["SettlementDate", "Code_CDP"]
-    groups = F.broadcast(new_links.where("Code_CDP IS NOT NULL").select(*keys).distinct())
+    groups = F.broadcast(new_links.where("Code_CDP IS NOT NULL").select(*keys))
     return lambda df: df.join(groups, keys, "left_semi")
 
 
