@@ -60,7 +60,7 @@ def daily_detailed_report(house: Warehouse, days: int | list[int], folder: str |
     if manual:
         replace_dates(result, path)
     elif set(days) - held:
-        append_new_dates(result, path)
+        append_new_dates(result, path, clustered=len(days) == 1)
     for day in days if folder else []:
         # a stored day is read back; a day kept from an earlier run still exports its fresh result
         rows = result if day in held else house.read(DETAIL).select(*result.columns)

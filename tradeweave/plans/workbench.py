@@ -47,14 +47,16 @@ class Workbench:
         """Prepared instructions with their verdict, before enrichment."""
         if not self._done(LINKED):
             scratch = self.scratch("link")
-            append_new_dates(linked(self.loaded(), None, scratch), self.house.path(LINKED))
+            append_new_dates(linked(self.loaded(), None, scratch), self.house.path(LINKED), clustered=False)
             scratch.drop()
         return self.house.read(LINKED)
 
     def reported(self) -> Warehouse:
         """The warehouse with its daily detail in place."""
         if not self._done(DETAIL):
-            append_new_dates(charged(self.linked(), self.loaded(), None), self.house.path(DETAIL))
+            # a large price table joins by shuffle, which scatters the dates
+            result = charged(self.linked(), self.loaded(), None)
+            append_new_dates(result, self.house.path(DETAIL), clustered=False)
         return self.house
 
     def detail(self) -> DataFrame:

@@ -120,10 +120,10 @@ def load_star(spark: SparkSession, folder: str, root: str) -> T.Warehouse:
     """Load all derived tables into a warehouse through the regular load-once sinks."""
     star, house = Star(spark, folder), T.Warehouse(spark, root)
     scratch = Scratch(spark, "ingest")
-    append_new_dates(star.facts(scratch), house.path(T.FACTS))
     append_new_dates(stamped(with_default_rate(star.rates())), house.path(T.RATES), clustered=False)
     append_new_dates(stamped(star.prices()), house.path(T.PRICES), clustered=False)
     star.agents().write.mode("overwrite").parquet(house.path(T.AGENTS))
     star.accounts().write.mode("overwrite").parquet(house.path(T.ACCOUNTS))
+    append_new_dates(star.facts(scratch), house.path(T.FACTS))  # last: marks the load as complete
     scratch.drop()
     return house
