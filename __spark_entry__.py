@@ -28,6 +28,11 @@ from tradeweave.sources.files import with_default_rate  # noqa: E402
 from tradeweave.sources.star_schema import Star  # noqa: E402
 import tradeweave_oracle  # noqa: E402
 
+try:
+    from tradeweave.llm import queries as _llm  # noqa: E402
+except ImportError:  # the subpackage may be left out
+    _llm = None
+
 _VERDICT = ["row_id", "SettlementDate", "flag", "comments"]
 
 
@@ -279,8 +284,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_summary": _daily,
         "weekly_summary": _ranged(R.weekly_summary),
         "monthly_summary": _ranged(R.monthly_summary),
+        **(_llm.queries() if _llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return tradeweave_oracle.oracle()
+    return {**tradeweave_oracle.oracle(), **(_llm.oracle_sql() if _llm else {})}

@@ -58,6 +58,11 @@ class Scratch:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def forget(self, *names: str) -> None:
+        """Delete tables that nothing refers to any more."""
+        for name in names:
+            remove_path(self.spark, self.at(name))
+
     def drop(self) -> None:
         """Delete this folder once nothing lazy refers to it any more."""
         remove_path(self.spark, self.path)
