@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -160,6 +162,13 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
 
 
 def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow whose workers can import this package where it lies at the same path as here.
+
+    A cluster that has it elsewhere ships it as usual (--py-files).
+    """
+    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
     return df.mapInArrow(work, schema)
 
 

@@ -17,9 +17,65 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(docs, 20, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.decontamination import contamination
+
+    found = contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
+def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tradeweave.llm.byte_bpe import encode
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN, digests=True)
+    return found.select("row.doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from tradeweave.llm.token_counts import token_counts
+
+    return token_counts(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+def op8_exact_topk(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.exact_topk import exact_topk
+
+    return exact_topk(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+#: The listed rules.
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.url_filters import judge_urls
+
+    return judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+def op10_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.license_scans import license_scan
+
+    return license_scan(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op4_decontamination": op4_decontamination,
+        "op5_byte_bpe": op5_byte_bpe,
+        "op7_token_counts": op7_token_counts,
+        "op8_exact_topk": op8_exact_topk,
+        "op9_url_filters": op9_url_filters,
+        "op10_license_scans": op10_license_scans,
     }
 
 
