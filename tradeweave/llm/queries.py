@@ -17,6 +17,18 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substring_dedup(docs, 20, with_text=False).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.jaccard_join import jaccard_join
+
+    return jaccard_join(table(spark, sf, "documents").select("doc_id", "text"), n=5, threshold=0.8)
+
+
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     from tradeweave.llm.decontamination import contamination
 
@@ -35,6 +47,13 @@ def op5_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("row.doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
 
 
+def op6_quality_model(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.quality_model import quality
+
+    found = quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return found.select("row.doc_id", "row.lang", "perplexity", "highest", "keep")
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,8 +89,11 @@ def op10_license_scans(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_jaccard_join": op2_jaccard_join,
+        "op3_toxicity": op3_toxicity,
         "op4_decontamination": op4_decontamination,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_quality_model": op6_quality_model,
         "op7_token_counts": op7_token_counts,
         "op8_exact_topk": op8_exact_topk,
         "op9_url_filters": op9_url_filters,
