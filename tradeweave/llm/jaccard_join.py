@@ -198,7 +198,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
 
     doc_id; class_id: smallest doc_id of all documents joined to it by links or equality, directly or
     through others; text_id: smallest doc_id with the same set of n-grams; n_links: how many other text
-    classes have a similarity of threshold or more to it (Jaccard index of the sets of n-grams).
+    classes have a similarity of threshold or more to it (Jaccard index of the sets of n-grams); is_first:
+    whether it is the document that names the class.
 
     Words are runs of anything but blank and \\t\\n\\v\\f\\r. A document of fewer words than n, but not none, has
     one n-gram. Documents without words, or null, are alone in their class and have no links. A null doc_id
@@ -241,4 +242,4 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     shown = lambda c: F.nullif(F.coalesce(c, F.col("doc_id").cast("long")), F.lit(-(1 << 63)))
     return docs.select("doc_id", key_of().alias("_key")).join(answer, "_key", "left").select(
         "doc_id", shown(F.col("class")).alias("class_id"), shown(F.col("text")).alias("text_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), (F.coalesce("class", "_key") == F.col("_key")).alias("is_first"))

@@ -86,6 +86,12 @@ def op10_license_scans(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan(table(spark, sf, "documents"))
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -98,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": op8_exact_topk,
         "op9_url_filters": op9_url_filters,
         "op10_license_scans": op10_license_scans,
+        "pipeline": pipeline,
     }
 
 

@@ -1,9 +1,10 @@
 """Toxicity classifier that is trained to give the same score when identity terms are swapped.
 
-Features are the words of a text and their first four and five letters. Which of them are used, and with
+Features are the words of a text and their beginnings of four, five and seven letters. Which of them are used, and with
 what weight, is learned from labelled documents. For each labelled text that names a group, further
 copies name other groups of the same kind instead; training penalises the squared difference of their
-scores, so that a group's name itself moves no score.
+scores, so that a group's name itself moves no score. Only what is relatively more frequent in toxic documents
+may be a feature, so that a long or unusual text is not excused by its other words.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from tradeweave.llm.common import in_arrow, key_of, scratch, settle, steps
 
 #: Labelled documents used at most, features kept, documents that must have a feature, other groups put in for one.
 SAMPLE, FEATURES, SUPPORT, SWAPS = 20_000, 4096, 4, 3
+#: Letters of the beginnings that are features.
+BEGINNINGS = (4, 5, 7)
 #: Training: steps, ridge penalty and weight of the counterfactual penalty.
 STEPS, RIDGE, SAME = 400, 1e-4, 1.0
 
@@ -48,7 +51,7 @@ def words_of(text: str) -> set[str]:
 
 def features_of(words: set[str]) -> set[str]:
     """The words, and the beginnings of longer ones (marked, so that they differ from words)."""
-    return words | {w[:4] + "~" for w in words if len(w) > 4} | {w[:5] + "~" for w in words if len(w) > 5}
+    return words.union(*({w[:n] + "~" for w in words if len(w) > n} for n in BEGINNINGS))
 
 
 def swapped(words: set[str]) -> list[set[str]]:
@@ -144,7 +147,7 @@ def train(labelled: DataFrame, tmp, same: float = SAME) -> tuple[dict[str, float
         return {}, 0.0 if not totals else 4.0 * (2 * next(iter(totals)) - 1)
     a, b = F.col("toxic") / totals[1], F.col("other") / totals[0]
     tells = F.pow(F.sqrt(a) - F.sqrt(b), F.lit(2.0))
-    best = counts.where(F.col("toxic") + F.col("other") >= SUPPORT).orderBy(F.desc(tells), "feature").limit(FEATURES)
+    best = counts.where((F.col("toxic") + F.col("other") >= SUPPORT) & (a > b)).orderBy(F.desc(tells), "feature").limit(FEATURES)
     chosen = [r.feature for r in best.select("feature").collect()]
     names = list(dict.fromkeys([*chosen, *_KIND]))
     place = {f: i for i, f in enumerate(names)}
@@ -157,13 +160,15 @@ def train(labelled: DataFrame, tmp, same: float = SAME) -> tuple[dict[str, float
 def _score(shared):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
-        lead = {f for f in weights if f.endswith("~")}
+        lead = {n: {f[:-1] for f in weights if len(f) == n + 1 and f[-1] == "~"} for n in BEGINNINGS}
         known = weights.keys()
         for batch, texts in steps(batches, "text"):
             z = []
             for text in texts:
                 words = words_of(text.decode())
-                found = words & known | ({w[:4] + "~" for w in words if len(w) > 4} | {w[:5] + "~" for w in words if len(w) > 5}) & lead
+                found = words & known
+                for n, some in lead.items():
+                    found |= {f + "~" for f in {w[:n] for w in words if len(w) > n} & some}
                 z.append(bias + sum(sorted(weights[f] for f in found)))
             yield pa.record_batch([batch.column("row"), pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))))], ["row", "score"])
 
