@@ -196,7 +196,7 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.0, high: float =
     bounds = tmp.store(known.groupBy(F.col("lang").alias("_lang")).agg(*at), "bounds")
     anywhere = known.agg(*at).first()
     out = scores if columns == ["doc_id", "lang"] else _scored(docs, shared, list(dict.fromkeys([*columns, "lang"])))
-    wider = F.exp(F.lit(spread) / F.sqrt("chars"))
+    wider = F.exp(F.lit(spread) / F.sqrt(F.greatest("chars", F.lit(1))))
     lowest = F.coalesce("_low", F.lit(anywhere["_low"]).cast("double")) / wider if low > 0 else F.lit(0.0)
     highest = F.coalesce("_high", F.lit(anywhere["_high"]).cast("double")) * wider
     out = out.join(bounds, F.col("row.lang").eqNullSafe(F.col("_lang")), "left").select("row", "perplexity", lowest.alias("lowest"), highest.alias("highest"))

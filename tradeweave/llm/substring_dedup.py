@@ -56,7 +56,8 @@ class _Blocks:
         smallest = _slide(runs, window - run + 1, np.minimum)
         anchor = smallest[self.at]
         new = np.ones(len(self.at), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (self.at[1:] != self.at[:-1] + 1)
+        doc = words.doc[self.at]
+        new[1:] = (anchor[1:] != anchor[:-1]) | (self.at[1:] != self.at[:-1] + 1) | (doc[1:] != doc[:-1])
         starts = np.flatnonzero(new)
         nth = np.arange(len(new)) - np.repeat(starts, np.diff([*starts, len(new)]))
         new |= nth % BLOCK == 0

@@ -55,7 +55,7 @@ def features_of(words: set[str]) -> set[str]:
 
 
 def swapped(words: set[str]) -> list[set[str]]:
-    """The same words with other groups: the n-th copy puts for each term the n-th after it in its row."""
+    """The same words with other groups: the n-th copy puts for each term the n-th other one of its row."""
     named = [w for w in words if w in _KIND]
     out = []
     for n in range(1, SWAPS + 1) if named else ():
@@ -64,7 +64,7 @@ def swapped(words: set[str]) -> list[set[str]]:
             new.discard(w)
         for w in named:
             row = _KIND[w]
-            new.add(row[(row.index(w) + n) % len(row)])
+            new.add(row[(row.index(w) + 1 + (n - 1) % (len(row) - 1)) % len(row)])
         if new != words and new not in out:
             out.append(new)
     return out
