@@ -18,12 +18,11 @@ import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeweave.llm.common import in_arrow, steps
+from tradeweave.llm.common import in_arrow, rows_with_text, steps
 
-#: Pieces that a worker remembers; when full it starts anew.
+#: Pieces, and pairs of tokens, that a worker remembers; when full it starts anew.
 REMEMBERED = 200_000
 
 # Fixed value: what counts as white space in the rank files' own library.
@@ -64,7 +63,7 @@ class ByteBpe:
     def fits(self, a: int, b: int) -> bool:
         known = self._fits.get((a, b))
         if known is None:
-            if len(self._fits) >= 4 * REMEMBERED:
+            if len(self._fits) >= REMEMBERED:
                 self._fits.clear()
             known = self._fits[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
         return known
@@ -134,11 +133,11 @@ def _memos(path: str) -> tuple[_Memo, _Memo]:
             _Memo(lambda ids: bpe.decode([int(i) for i in ids.split(",")])))
 
 
-def _work(path: str, pattern: str, digests: bool):
+def _work(path: str, pattern: str, digests: bool, column: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = piece_pattern(pattern).findall
         to_ids, to_bytes = _memos(path)
-        for batch, texts in steps(batches, "text"):
+        for batch, texts in steps(batches, column):
             counts, ids, back = [], [], []
             for text in texts:
                 pieces = [to_ids[p] for p in split(text.decode())]
@@ -166,8 +165,7 @@ def encode(docs: DataFrame, path: str, pattern: str, digests: bool = False, keep
     the bytes. A null or empty text has no tokens. Special tokens are ordinary text. No shuffle: rows stay
     where they are read, whatever their lengths, repeats and order.
     """
-    row = F.struct(*[docs[c] for c in (keep or ["doc_id"])]).alias("row")
-    rows = docs.select(row, docs["text"].alias("text"))
+    rows, column = rows_with_text(docs, keep or ["doc_id"])
     out = T.StructType([rows.schema["row"]]).add("n_tokens", "long")
     out = out.add("ids", "string").add("decoded", "string") if digests else out.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "binary")
-    return in_arrow(rows, _work(path, pattern, digests), out)
+    return in_arrow(rows, _work(path, pattern, digests, column), out)

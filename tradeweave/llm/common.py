@@ -53,10 +53,21 @@ def settle(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def rows_with_text(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+    """The columns as one struct `row`, and where in it or beside it the text stands; a text travels once."""
+    row = F.struct(*[docs[c] for c in columns]).alias("row")
+    return (docs.select(row), "row.text") if "text" in columns else (docs.select(row, docs["text"].alias("text")), "text")
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of at most STEP_BYTES of text (or one row), with their texts as bytes; null is empty."""
+    """Slices of at most STEP_BYTES of text (or one row), with their texts as bytes; null is empty.
+
+    column may name a field of a struct (`row.text`).
+    """
+    outer, _, inner = column.partition(".")
     for batch in batches:
-        texts = [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
+        found = batch.column(outer).field(inner) if inner else batch.column(outer)
+        texts = [t or b"" for t in found.cast(pa.binary()).to_pylist()]
         start = size = 0
         for i, t in enumerate(texts):
             if i > start and size + len(t) > STEP_BYTES:
@@ -129,7 +140,7 @@ class Words:
         """Stretches that end at a blank, so that a very long document needs no more memory."""
         lo, n = 0, len(buf)
         while lo < n:
-            hi = min(n, lo + 2 * STEP_BYTES)
+            hi = min(n, lo + STEP_BYTES)
             while hi < n and not _is_blank[buf[hi - 1]]:
                 hi += 1
             yield lo, hi

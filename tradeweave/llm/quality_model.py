@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeweave.llm.common import in_arrow, key_of, scratch, settle, steps
+from tradeweave.llm.common import in_arrow, key_of, rows_with_text, scratch, settle, steps
 
 ORDER, BITS = 4, 6
 CLASSES = 1 << BITS
@@ -142,16 +142,17 @@ def _logs(shared) -> np.ndarray:
         for size in range(1, ORDER + 1):
             g = np.ones(CLASSES ** (size - 1), np.float32)
             g[remainders[size][0]] = remainders[size][1]
-            p = np.repeat(g, CLASSES) * (np.tile(p, CLASSES) if size > 1 else p[0])
+            p = np.tile(p, CLASSES)  # in place from here on: the largest table has 64 MB
+            p.reshape(-1, CLASSES)[:] *= g[:, None]
             p[probabilities[size][0]] = probabilities[size][1]
-        _worker["model"] = model, np.log(p)
+        _worker["model"] = model, np.log(p, out=p)
     return _worker["model"][1]
 
 
-def _score(shared):
+def _score(shared, column: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = _logs(shared)
-        for batch, texts in steps(batches, "text"):
+        for batch, texts in steps(batches, column):
             codes, size = _codes(texts)
             total = np.concatenate([[0.0], np.cumsum(logs[codes], dtype=np.float64)])
             ends = np.cumsum(size)
@@ -163,8 +164,8 @@ def _score(shared):
 
 
 def _scored(docs: DataFrame, shared, columns: list[str]) -> DataFrame:
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), docs["text"].alias("text"))
-    return in_arrow(rows, _score(shared), T.StructType([rows.schema["row"]]).add("perplexity", "double").add("chars", "long"))
+    rows, column = rows_with_text(docs, columns)
+    return in_arrow(rows, _score(shared, column), T.StructType([rows.schema["row"]]).add("perplexity", "double").add("chars", "long"))
 
 
 def quality(docs: DataFrame, labels: DataFrame, low: float = 0.0, high: float = 0.99, spread: float = 4.0,

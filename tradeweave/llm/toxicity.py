@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeweave.llm.common import in_arrow, key_of, scratch, settle, steps
+from tradeweave.llm.common import in_arrow, key_of, rows_with_text, scratch, settle, steps
 
 #: Labelled documents used at most, features kept, documents that must have a feature, other groups put in for one.
 SAMPLE, FEATURES, SUPPORT, SWAPS = 20_000, 4096, 4, 3
@@ -157,12 +157,12 @@ def train(labelled: DataFrame, tmp, same: float = SAME) -> tuple[dict[str, float
     return {f: float(v) for f, v in zip(names, w) if v}, bias
 
 
-def _score(shared):
+def _score(shared, column: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         lead = {n: {f[:-1] for f in weights if len(f) == n + 1 and f[-1] == "~"} for n in BEGINNINGS}
         known = weights.keys()
-        for batch, texts in steps(batches, "text"):
+        for batch, texts in steps(batches, column):
             z = []
             for text in texts:
                 words = words_of(text.decode())
@@ -178,8 +178,8 @@ def _score(shared):
 def score(docs: DataFrame, weights: dict[str, float], bias: float, columns: list[str] | None = None) -> DataFrame:
     """The struct `row` (columns, default doc_id) and the score of every whole text; null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast((weights, bias))
-    rows = docs.select(F.struct(*[docs[c] for c in (columns or ["doc_id"])]).alias("row"), docs["text"].alias("text"))
-    return in_arrow(rows, _score(shared), T.StructType([rows.schema["row"]]).add("score", "double"))
+    rows, column = rows_with_text(docs, columns or ["doc_id"])
+    return in_arrow(rows, _score(shared, column), T.StructType([rows.schema["row"]]).add("score", "double"))
 
 
 def held_out() -> F.Column:
