@@ -20,9 +20,13 @@ from tradeweave.operators.prepare import (  # noqa: E402
 from tradeweave.plans import detailed as D  # noqa: E402
 from tradeweave.plans import summaries as R  # noqa: E402
 from tradeweave.plans.workbench import Workbench  # noqa: E402
-from tradeweave.sinks.exports import off_exchange_only, write_csv  # noqa: E402
-from tradeweave.sinks.tables import append_new_dates, recent, replace_dates  # noqa: E402
+from tradeweave.plans.load import cleanup, load_feeds  # noqa: E402
+from tradeweave.operators.matching import Limits  # noqa: E402
+from tradeweave.sinks.exports import off_exchange_only, write_csv, write_summary  # noqa: E402
+from tradeweave.sinks.tables import append_new_dates, replace_dates  # noqa: E402
+from tradeweave.sources.tables import DETAIL, FACTS, PRICES, RATES, Warehouse  # noqa: E402
 from tradeweave.schemas import INSTRUCTION_COLUMNS  # noqa: E402
+from tradeweave.session import child_names, move_path  # noqa: E402
 from tradeweave.sources import files  # noqa: E402
 from tradeweave.sources.files import with_default_rate  # noqa: E402
 from tradeweave.sources.star_schema import Star  # noqa: E402
@@ -80,8 +84,12 @@ def _replace_date(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _retention(spark: SparkSession, sf: str) -> DataFrame:
-    facts = Workbench.of(spark, sf).loaded().facts()
-    return recent(facts, 20000601).groupBy("SettlementDate").agg(F.count("*").alias("instructions"))
+    """The cleanup job over stored facts."""
+    bench = Workbench.of(spark, sf)
+    house = Warehouse(spark, bench.scratch("retention").path)
+    append_new_dates(bench.loaded().facts().select("SettlementDate", "row_id"), house.path(FACTS), clustered=False)
+    cleanup(house, 20000601)
+    return house.read(FACTS).groupBy("SettlementDate").agg(F.count("*").alias("instructions"))
 
 
 def _row_numbers(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,12 +101,8 @@ def _row_numbers(spark: SparkSession, sf: str) -> DataFrame:
 def _instruction_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Write all instructions as the header-less feed, in row order, and read them back."""
     bench = Workbench.of(spark, sf)
-    facts, scratch = bench.loaded().facts(), bench.scratch("feed")
-    fields = [F.col(c) if c in facts.columns else F.lit("").alias(c) for c in INSTRUCTION_COLUMNS]
-    (
-        facts.repartitionByRange("SettlementDate", "row_id").sortWithinPartitions("SettlementDate", "row_id")
-        .select(*fields, F.lit("x").alias("extra")).write.option("emptyValue", "").csv(scratch.at("csv"))
-    )
+    scratch = bench.scratch("feed")
+    _write_csv_feed(bench, scratch.at("csv"))
     return files.read_instructions(spark, scratch.at("csv"), scratch).select(
         "row_id", "SettlementDate", "BuySellIndicator", "TransactionType", "Sender", "ISIN",
         "CDPSafeKeepingAccount", "Quantity", "SettlementAmt", "PSMSMatchedReference", "TransferType",
@@ -119,31 +123,101 @@ def _write_feeds(rows: DataFrame, prefix: str, line: str, path: str) -> None:
     )
 
 
+_RATE_LINE = "concat_ws('|', '19000101', Currency, CAST(Rate AS STRING), 'more')"
+_PRICE_LINE = "concat_ws('|', '19000101', Code, SecurityDescription, CAST(Price AS STRING), Currency, ISIN)"
+
+
 def _rate_files(spark: SparkSession, sf: str) -> DataFrame:
     scratch = Workbench.of(spark, sf).scratch("feed")
-    line = "concat_ws('|', '19000101', Currency, CAST(Rate AS STRING), 'more')"
-    _write_feeds(Star(spark, sf).rates(), "EXCHANGE_RATE_", line, scratch.at("fx"))
+    _write_feeds(Star(spark, sf).rates(), "EXCHANGE_RATE_", _RATE_LINE, scratch.at("fx"))
     return files.read_rates(spark, scratch.at("fx"), scratch)
 
 
 def _price_files(spark: SparkSession, sf: str) -> DataFrame:
     bench = Workbench.of(spark, sf)
     scratch = bench.scratch("feed")
-    line = "concat_ws('|', '19000101', Code, SecurityDescription, CAST(Price AS STRING), Currency, ISIN)"
-    _write_feeds(bench.loaded().read("Closing_price"), "LAST_DONE_PRICE_", line, scratch.at("px"))
+    _write_feeds(bench.loaded().read("Closing_price"), "LAST_DONE_PRICE_", _PRICE_LINE, scratch.at("px"))
     return files.read_prices(spark, scratch.at("px"), scratch).select(
         "SettlementDate", "Code", "SecurityDescription", "Price", "ISIN")
 
 
 def _detail_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column through the CSV export and back; a missing text comes back as a blank one."""
     bench = Workbench.of(spark, sf)
     path = bench.scratch("csv").at("detail")
-    detail = bench.detail()
+    detail = bench.detail().select(*tradeweave_oracle.DETAIL_COLUMNS)
     write_csv(detail, path)
     back = spark.read.schema(detail.schema).option("header", True).csv(path)
-    return back.groupBy("SettlementDate", "flag").agg(
-        F.count("*").alias("instructions"), F.count("NewFee").alias("charged"),
-        F.sum("row_id").alias("id_sum"))
+    return back.fillna("", subset=[c for c, t in detail.dtypes if t == "string"])
+
+
+_TODAY = 20010615
+
+
+def _write_csv_feed(bench: Workbench, path: str) -> None:
+    """All instructions as the header-less feed, in row order."""
+    facts = bench.loaded().facts()
+    fields = [F.col(c) if c in facts.columns else F.lit("").alias(c) for c in INSTRUCTION_COLUMNS]
+    (
+        facts.repartitionByRange("SettlementDate", "row_id").sortWithinPartitions("SettlementDate", "row_id")
+        .select(*fields, F.lit("x").alias("extra")).write.option("emptyValue", "").csv(path)
+    )
+
+
+def _load_job(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The load job over all three feeds: what it stores of the last business day before _TODAY."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        bench = Workbench.of(spark, sf)
+        scratch = bench.scratch("load-job")
+        _write_csv_feed(bench, scratch.at("csv"))
+        _write_feeds(Star(spark, sf).rates(), "EXCHANGE_RATE_", _RATE_LINE, scratch.at("fx"))
+        _write_feeds(bench.loaded().read("Closing_price"), "LAST_DONE_PRICE_", _PRICE_LINE, scratch.at("px"))
+        for folder in (scratch.at("fx"), scratch.at("px")):
+            for name in child_names(spark, folder):
+                if name.startswith("feed="):
+                    move_path(spark, f"{folder}/{name}", f"{folder}/{name.removeprefix('feed=')}")
+        house = Warehouse(spark, scratch.at("house"))
+        load_feeds(house, scratch.at("csv"), scratch.at("fx"), scratch.at("px"), _TODAY)
+        columns = {
+            FACTS: ["row_id", "SettlementDate", "TransactionType", "Sender", "ISIN", "Quantity", "SettlementAmt", "PSMSMatchedReference"],
+            RATES: ["SettlementDate", "Currency", "Rate"], PRICES: ["SettlementDate", "ISIN", "Price"],
+        }
+        return house.read(table).select(*columns[table])
+
+    return run
+
+
+def _detail_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The detailed report of two days, run by itself, then again by hand over a falsified result."""
+    bench = Workbench.of(spark, sf)
+    source = bench.loaded()
+    house = Warehouse(spark, bench.scratch("detail-job").path)
+    for name in (FACTS, RATES, PRICES):
+        rows = source.read(name)
+        append_new_dates(rows.where(F.col("SettlementDate").isin(tradeweave_oracle.JOB_DAYS)), house.path(name), clustered=False)
+    source.agents().write.parquet(house.path("Depository_Agent"))
+    source.accounts().write.parquet(house.path("Sub_Account"))
+    D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS, bench.scratch("out").path)
+    held = house.read(DETAIL)
+    wrong = bench.scratch("wrong").store(held.where(F.col("SettlementDate") == tradeweave_oracle.JOB_DAYS[0]).withColumn("NewFee", F.lit(-1.0)), "rows")
+    replace_dates(wrong, house.path(DETAIL))
+    D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS, manual=True)
+    D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS)  # stored days are left alone
+    return spark.read.parquet(house.path(DETAIL)).select(*tradeweave_oracle.DETAIL_COLUMNS)
+
+
+def _summary_file(spark: SparkSession, sf: str) -> DataFrame:
+    """The weekly report over part of the stored days, as the job writes it."""
+    bench = Workbench.of(spark, sf)
+    path = R.weekly_summary_report(bench.reported(), *tradeweave_oracle.JOB_RANGE, bench.scratch("reports").path)
+    return spark.read.parquet(path)
+
+
+def _split_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole linking with bounds so low that every large group, cell and list is split."""
+    bench = Workbench.of(spark, sf)
+    limits = Limits(max_cells=3, block_rows_log2=4, small_list=10)
+    return D.linked(bench.loaded(), None, bench.scratch("link"), limits).select(*_VERDICT)
 
 
 def _quantity_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,6 +313,10 @@ def _ranged(report: Callable[..., DataFrame]) -> Callable[[SparkSession, str], D
     return run
 
 
+def _part(report: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf: report(Workbench.of(spark, sf).reported(), *tradeweave_oracle.JOB_RANGE)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "prep": _prep,
@@ -284,6 +362,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_summary": _daily,
         "weekly_summary": _ranged(R.weekly_summary),
         "monthly_summary": _ranged(R.monthly_summary),
+        "load_job_facts": _load_job(FACTS),
+        "load_job_rates": _load_job(RATES),
+        "load_job_prices": _load_job(PRICES),
+        "detail_job": _detail_job,
+        "weekly_report": _summary_file,
+        "monthly_range": _part(R.monthly_summary),
+        "split_groups": _split_groups,
         **(_llm.queries() if _llm else {}),
     }
 

@@ -150,3 +150,25 @@ def test_missing_quantity_is_never_linked_by_quantity(spark):
             (2, 20200101, "S", "FDVP", "NORM", "X", "A1", None, "R2"),
             (3, 20200101, "S", "FDVP", "NORM", "X", "A1", 20.0, "R2")]
     assert run(spark, rows)[1] == {(20200101, 3): S.TOTAL_LINK, (20200101, 2): S.REFERENCE_LINK}
+
+
+@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=1, block_rows_log2=1, small_list=0)])
+def test_quantities_at_the_edges_of_exactness(spark, limits):
+    def case(account, have, want):
+        return [(account, "S", "DVPT", q) for q in have] + [(account, "B", "FDVP", q) for q in want]
+
+    cases = (
+        case("tiny short", [0.00003], [0.00004]) + case("tiny enough", [0.00001, 0.00003], [0.00004])
+        + case("huge", [1e16, 1.0], [1e16]) + case("huge short", [1e16], [1e16, 0.0000000001])
+        + case("tenths", [0.1] * 3, [0.3]) + case("tenths short", [0.1, 0.1], [0.2000000001]))
+    rows = [(i, 20200101, side, kind, "NORM", "X", account, q, f"Q{i}") for i, (account, side, kind, q) in enumerate(cases, 1)]
+    _, got = run(spark, rows, limits)
+    linked = {(rows[i - 1][6], rows[i - 1][7]) for _, i in got}
+    assert linked == {("tiny enough", 0.00004), ("huge", 1e16), ("huge short", 1e16), ("tenths", 0.3)}
+
+
+@pytest.mark.parametrize("quantity", [-5.0, 1e18, 0.00000000001])
+def test_quantities_without_an_exact_form_are_refused(spark, quantity):
+    rows = [(1, 20200101, "S", "DVPT", "NORM", "X", "A1", 5.0, "Q1"), (2, 20200101, "B", "FDVP", "NORM", "X", "A1", quantity, "Q2")]
+    with pytest.raises(Exception, match="quantity cannot be linked exactly|CAST|out of range|cannot be represented"):
+        run(spark, rows)

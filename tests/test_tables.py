@@ -1,20 +1,22 @@
 """Files in, tables out: feeds, load-once, replace, retention, exports, the daily job end to end."""
 
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradeweave import schemas as S
 from tradeweave.__main__ import main
+from tradeweave.operators.enrich import enrich
 from tradeweave.operators.numbering import number_rows
 from tradeweave.plans.detailed import daily_detailed_report
 from tradeweave.plans.load import cleanup, load_feeds
 from tradeweave.plans.summaries import (
     daily_summary, monthly_summary, weekly_summary, weekly_summary_report,
 )
-from tradeweave.session import Scratch
-from tradeweave.sinks.tables import append_new_dates, prune, recent, replace_dates, stored_dates
+from tradeweave.session import Scratch, shared_root
+from tradeweave.sinks.tables import append_new_dates, prune, replace_dates, stored_dates
 from tradeweave.sources import files
 from tradeweave.sources.tables import ACCOUNTS, AGENTS, DETAIL, FACTS, PRICES, RATES, Warehouse
 
@@ -158,7 +160,6 @@ def test_append_replace_and_prune(spark, tmp_path):
     assert read() == [(20200101, 1), (20200102, 2), (20200103, 3)]
     replace_dates(days(spark, (20200102, 7), (20200102, 8)), path)
     assert read() == [(20200101, 1), (20200102, 7), (20200102, 8), (20200103, 3)]
-    assert recent(spark.read.parquet(path), 20200104, 2).count() == 3  # the cut-off day stays
     assert prune(spark, path, 20200104, 2) == [20200101]
     assert stored_dates(spark, path) == {20200102, 20200103}
     assert prune(spark, f"{tmp_path}/none", 20200104) == []
@@ -178,3 +179,67 @@ def test_command_line_cleanup(spark, tmp_path, capsys):
     main(["cleanup", "--root", str(tmp_path), "--today", "20200402"])
     assert "20200101" in capsys.readouterr().out
     assert stored_dates(spark, h.path(FACTS)) == {20200401}
+
+
+def test_half_written_date_is_loaded_again(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    append_new_dates(days(spark, (20200101, 1)), path)
+    os.makedirs(f"{path}/_stage-lost/SettlementDate=20200102")  # an interrupted run's leftovers
+    shutil.copytree(f"{path}/SettlementDate=20200101", f"{path}/_stage-lost/SettlementDate=20200102", dirs_exist_ok=True)
+    append_new_dates(days(spark, (20200101, 9), (20200102, 2), (20200102, 3)), path)
+    assert sorted(map(tuple, spark.read.parquet(path).select("SettlementDate", "v").collect())) == [(20200101, 1), (20200102, 2), (20200102, 3)]
+
+
+def test_replaced_dates_get_few_files(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    many = spark.range(4000).select((F.lit(20200101) + F.col("id") % 5).cast("int").alias("SettlementDate"), F.col("id").alias("v"))
+    replace_dates(many.repartition(20), path)
+    assert max(len([f for f in os.listdir(f"{path}/{d}") if f.startswith("part-")]) for d in os.listdir(path) if d.startswith("Settle")) == 1
+
+
+def test_malformed_fields_stop_or_are_kept_aside(spark, tmp_path):
+    good = [instruction(TradeRef=str(i)) for i in range(3)]
+    bad = [instruction(TradeRef="b1", Sender="A01"), instruction(TradeRef="b2", Quantity="1e4x"), instruction(TradeRef="b3", SettlementDate="2020-01-02"),
+           instruction(TradeRef="b4", SettlementDate="", Quantity="?")]
+    blank = [instruction(TradeRef="e", Quantity="", SettlementAmt="")]
+    write(f"{tmp_path}/in.txt", [",".join(r) for r in [good[0], bad[0], bad[1], good[1], *blank, bad[2], bad[3], good[2]]])
+    with pytest.raises(ValueError, match="malformed"):
+        files.read_instructions(spark, f"{tmp_path}/in.txt", Scratch(spark, "test"))
+    got = files.read_instructions(spark, f"{tmp_path}/in.txt", Scratch(spark, "test"), f"{tmp_path}/bad").orderBy("row_id").collect()
+    assert [(r.row_id, r.TradeRef) for r in got] == [(1, "0"), (2, "1"), (3, "e"), (4, "2")] and got[2].Quantity is None
+    left = {r.TradeRef: r.malformed for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
+    assert left == {"b1": {"Sender": "A01"}, "b2": {"Quantity": "1e4x"}, "b3": {"SettlementDate": "2020-01-02"}, "b4": {"SettlementDate": "", "Quantity": "?"}}
+
+
+def test_price_lines_without_isin_do_not_stop_a_day(spark):
+    facts = spark.createDataFrame([(1, 20200101, "I1", "SGD", 1.0, 5, "A"), (2, 20200101, "", "SGD", 1.0, 5, "A"), (3, 20200101, None, "SGD", 1.0, 5, "A")],
+                                  "row_id long, SettlementDate int, ISIN string, SettlementCcy string, Quantity double, Sender int, CDPSafeKeepingAccount string")
+    prices = spark.createDataFrame([(20200101, i, p) for i, p in (("I1", 2.0), ("", 3.0), ("", 4.0), (None, 5.0), (None, 6.0))], "SettlementDate int, ISIN string, Price double")
+    rates = spark.createDataFrame([(20200101, "USD", 1.2)], "SettlementDate int, Currency string, Rate double")
+    agents = spark.createDataFrame([(5, "n")], "Sender int, DaName string")
+    accounts = spark.createDataFrame([("A", "n", "l")], "CDPSafeKeepingAccount string, CDPAccountName string, Location string")
+    got = {r.row_id: r.Price for r in enrich(facts, rates, prices, agents, accounts).collect()}
+    assert got == {1: 2.0, 2: None, 3: None}
+
+
+def test_run_over_days_names_the_one_that_lacks_rates(spark, house):
+    extra = house.read(FACTS).withColumn("SettlementDate", F.lit(20200103))
+    append_new_dates(extra, house.path(FACTS))
+    append_new_dates(house.read(PRICES).withColumn("SettlementDate", F.lit(20200103)), house.path(PRICES))
+    with pytest.raises(ValueError, match=f"{RATES}.*20200103"):
+        daily_detailed_report(house, [20200102, 20200103])
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(ValueError, match="share"):
+        shared_root(Session)
+    Session.conf = {"spark.checkpoint.dir": "hdfs://x/shared/"}
+    assert shared_root(Session) == "hdfs://x/shared"

@@ -18,10 +18,12 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tradeweave")
     p.add_argument("job", choices=["load", "detail", "daily", "weekly", "monthly", "cleanup"])
     p.add_argument("--root", required=True, help="folder of the stored tables")
+    p.add_argument("--scratch", help="folder all machines share, for intermediate tables; under the root by default")
     p.add_argument("--out", help="folder for reports")
     p.add_argument("--instructions", help="instruction CSV (load)")
     p.add_argument("--rates", help="folder of the rate files (load)")
     p.add_argument("--prices", help="folder of the price files (load)")
+    p.add_argument("--rejects", help="folder for malformed instruction records; without it they stop the load")
     p.add_argument("--day", type=int, nargs="+", help="settlement dates, yyyymmdd (detail, daily)")
     p.add_argument("--start", type=int)
     p.add_argument("--end", type=int)
@@ -33,9 +35,12 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
-    house = Warehouse(build_session(), a.root)
+    spark = build_session()
+    if a.scratch or not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", a.scratch or f"{a.root.rstrip('/')}/_scratch")
+    house = Warehouse(spark, a.root)
     if a.job == "load":
-        print(load_feeds(house, a.instructions, a.rates, a.prices, a.today))
+        print(load_feeds(house, a.instructions, a.rates, a.prices, a.today, a.rejects))
     elif a.job == "detail":
         daily_detailed_report(house, a.day, a.out, a.manual)
     elif a.job == "daily":

@@ -10,18 +10,6 @@ from pyspark.sql import functions as F
 MICRO = 1e6
 
 
-def yyyymmdd(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
-
-
-def as_date(day_int: Column) -> Column:
-    return F.to_date(day_int.cast("string"), "yyyyMMdd")
-
-
-def first_of_month(day_int: Column) -> Column:
-    return yyyymmdd(F.trunc(as_date(day_int), "MM"))
-
-
 def day_number(day: dt.date | int) -> int:
     return day if isinstance(day, int) else int(day.strftime("%Y%m%d"))
 
@@ -37,8 +25,16 @@ def load_stamp() -> Column:
 
 
 def micros(amount: Column) -> Column:
-    """Amount in whole millionths, so that sums are exact and do not depend on partitioning."""
-    return F.floor(amount * MICRO + 0.5).cast("decimal(20,0)")
+    """Amount in whole millionths, so that sums are exact and do not depend on partitioning.
+
+    From 2**52 millionths on a double is whole and needs no rounding. What no decimal holds (beyond 38
+    digits, infinite, not a number) raises an error, as does a sum that grows beyond it.
+    """
+    scaled = amount * MICRO
+    rounded = F.when(F.abs(scaled) < 2.0 ** 52, F.floor(scaled + 0.5).cast("decimal(38,0)"))
+    rounded = rounded.when(F.abs(scaled) < 1e38, scaled.cast("decimal(38,0)"))
+    refused = F.raise_error(F.concat(F.lit("amount out of range: "), amount.cast("string"))).cast("decimal(38,0)")
+    return rounded.when(scaled.isNotNull(), refused)
 
 
 def from_micros(total: Column) -> Column:

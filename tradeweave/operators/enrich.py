@@ -35,6 +35,7 @@ def attach(facts: DataFrame, dim: DataFrame, keys: list[str], name: str, strict:
     ``strict`` rejects duplicate dimension keys, which would multiply facts; without it the join
     keeps all matches.
     """
+    dim = dim.dropna(subset=keys)  # a null key matches nothing
     size = measure(dim, keys)
     if strict and size.most_per_key > 1:
         raise ValueError(f"{name}: duplicate key in {keys}")
@@ -61,7 +62,8 @@ def enrich(df: DataFrame, rates: DataFrame, prices: DataFrame, agents: DataFrame
     df = df.withColumn(
         "Rate", F.when(F.col("Currency") == S.HOME_CURRENCY, 1.0).otherwise(F.col("Rate").cast("double"))
     )
-    df = attach(df, prices.select("SettlementDate", "ISIN", F.col("Price").cast("double").alias("Price")),
+    usable = prices.where("ISIN <> ''")  # a price line without one can belong to no instruction
+    df = attach(df, usable.select("SettlementDate", "ISIN", F.col("Price").cast("double").alias("Price")),
                 ["SettlementDate", "ISIN"], "Closing_price", strict)
     df = attach(df, agents.select("Sender", "DaName"), ["Sender"], "Depository_Agent", strict)
     return attach(df, accounts.select("CDPSafeKeepingAccount", "CDPAccountName", "Location"),

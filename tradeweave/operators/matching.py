@@ -24,9 +24,12 @@ from tradeweave.session import Scratch
 GROUP = ["SettlementDate", "Code_CDP", "side"]
 CELL = [*GROUP, "Quantity"]
 
-# Sums and the running remainder are exact decimals, so results do not depend on partitioning.
-_AMOUNT = "decimal(38,4)"
-_QTY = "decimal(20,4)"
+# Quantities are summed and handed out in whole units of 1e-10, so results are exact and do not depend
+# on partitioning. What has no such form (more decimals, 1e18 and more, below zero) raises an error.
+_AMOUNT = "decimal(38,0)"
+_UNITS = """CASE WHEN Quantity >= 0 AND CAST(CAST(Quantity AS DECIMAL(28,10)) AS DOUBLE) = Quantity
+    THEN CAST(CAST(Quantity AS DECIMAL(28,10)) * 10000000000BD AS DECIMAL(38,0))
+    ELSE CAST(raise_error(concat('quantity cannot be linked exactly: ', CAST(Quantity AS STRING))) AS DECIMAL(38,0)) END"""
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ def _amount(count: str) -> str:
 
 
 def _with_exact_quantity(cells: DataFrame) -> DataFrame:
-    return cells.withColumn("q", F.col("Quantity").cast(_QTY))
+    return cells.withColumn("q", F.expr(_UNITS))
 
 
 def walk_sql(cells: str, budget: str) -> str:

@@ -18,12 +18,22 @@ from tradeweave.sources.tables import DETAIL, FACTS, PRICES, RATES, Warehouse
 
 
 def check_inputs(house: Warehouse, days: int | list[int] | None) -> None:
-    require_rows(house.facts(days), f"no rows in {FACTS} for the date")
-    require_rows(house.rates(days), f"no rows in {RATES} for the date")
-    require_rows(house.prices(days), f"no rows in {PRICES} for the date")
+    """Stop unless every date asked for has what its report needs; the message names dates that lack it."""
+    def dates(df: DataFrame) -> set[int]:
+        return {r[0] for r in df.select("SettlementDate").distinct().collect()}  # one value per calendar day
+
+    facts = dates(house.facts(days))
+    wanted = facts if days is None else {days} if isinstance(days, int) else set(days)
+    for what, there in (
+        (f"no rows in {FACTS} for the date", facts),
+        (f"no rows in {RATES} for the date", dates(house.rates(days))),
+        (f"no rows in {PRICES} for the date", dates(house.prices(days))),
+        ("only bond trades found for the date", dates(house.facts(days).where(~is_bond()))),
+    ):
+        if not wanted or wanted - there:
+            raise ValueError(f"{what} {', '.join(map(str, sorted(wanted - there)))}".rstrip())
     require_rows(house.agents(), "the agent table is empty")
     require_rows(house.accounts(), "the account table is empty")
-    require_rows(house.facts(days).where(~is_bond()), "only bond trades found for the date")
 
 
 def linked(house: Warehouse, days: int | list[int] | None, scratch: Scratch,
@@ -54,15 +64,17 @@ def daily_detailed_report(house: Warehouse, days: int | list[int], folder: str |
     check_inputs(house, days)
     days = [days] if isinstance(days, int) else list(days)
     scratch = Scratch(house.spark, "link")
-    result = detail(house, days, scratch, limits)
-    path = house.path(DETAIL)
-    held = set() if manual else stored_dates(house.spark, path)
-    if manual:
-        replace_dates(result, path)
-    elif set(days) - held:
-        append_new_dates(result, path, clustered=len(days) == 1)
-    for day in days if folder else []:
-        # a stored day is read back; a day kept from an earlier run still exports its fresh result
-        rows = result if day in held else house.read(DETAIL).select(*result.columns)
-        write_detail(rows.where(F.col("SettlementDate") == day), folder, day, manual)
-    scratch.drop()
+    try:
+        result = detail(house, days, scratch, limits)
+        path = house.path(DETAIL)
+        held = set() if manual else stored_dates(house.spark, path)
+        if manual:
+            replace_dates(result, path)
+        elif set(days) - held:
+            append_new_dates(result, path, clustered=len(days) == 1)
+        for day in days if folder else []:
+            # a stored day is read back; a day kept from an earlier run still exports its fresh result
+            rows = result if day in held else house.read(DETAIL).select(*result.columns)
+            write_detail(rows.where(F.col("SettlementDate") == day), folder, day, manual)
+    finally:
+        scratch.drop()

@@ -12,23 +12,27 @@ from tradeweave.sources import files
 from tradeweave.sources.tables import DETAIL, FACTS, PRICES, RATES, Warehouse
 
 
-def load_feeds(house: Warehouse, instructions: str, rates: str, prices: str, today: int) -> int:
+def load_feeds(house: Warehouse, instructions: str, rates: str, prices: str, today: int,
+               rejects: str | None = None) -> int:
     """Append the settled instructions of the last date before ``today`` and its market data.
 
-    ``rates`` and ``prices`` are folders holding the dated files. Returns the loaded date.
+    ``rates`` and ``prices`` are folders holding the dated files. Malformed records
+    stop the load or, given ``rejects``, are put in that folder. Returns the loaded date.
     """
     spark: SparkSession = house.spark
     scratch = Scratch(spark, "load")
-    facts = settled(files.read_instructions(spark, instructions, scratch))
-    day = latest_business_date(facts, today).first()[0]
-    if day is None:
-        raise ValueError("no settled records in the instruction file")
-    append_new_dates(keep_latest(facts, today), house.path(FACTS))
-    fx = files.with_default_rate(files.read_rates(spark, files.rate_file(rates, day), scratch))
-    append_new_dates(files.stamped(fx), house.path(RATES), clustered=False)
-    last = files.read_prices(spark, files.price_file(prices, day), scratch)
-    append_new_dates(files.stamped(last), house.path(PRICES), clustered=False)
-    scratch.drop()
+    try:
+        facts = settled(files.read_instructions(spark, instructions, scratch, rejects))
+        day = latest_business_date(facts, today).first()[0]
+        if day is None:
+            raise ValueError("no settled records in the instruction file")
+        append_new_dates(keep_latest(facts, today), house.path(FACTS))
+        fx = files.with_default_rate(files.read_rates(spark, files.rate_file(rates, day), scratch))
+        append_new_dates(files.stamped(fx), house.path(RATES), clustered=False)
+        last = files.read_prices(spark, files.price_file(prices, day), scratch)
+        append_new_dates(files.stamped(last), house.path(PRICES), clustered=False)
+    finally:
+        scratch.drop()
     return day
 
 

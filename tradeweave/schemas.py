@@ -81,9 +81,10 @@ TOTAL_LINK = "Total amount linking"
 INDIVIDUAL_LINK = "Individual linking"
 REFERENCE_LINK = "PSMS reference matching"
 
-# Columns left out of the off-exchange extract.
+# Columns left out of the off-exchange extract.
 OFF_EXCHANGE_DROPS = ["subsequent", "Code_CDP", "SubsequentBuySell", "comments", "Currency"]
 
+# Days kept, names of a top list, turnarounds before the run is stopped.
 RETENTION_DAYS = 62
 TOP_K = 20
 MAX_ROUNDS = 10000

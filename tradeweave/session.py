@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,9 +31,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only if unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only where driver and executors are one machine, as in tests, an unset folder is made up.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir (or --scratch) to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tradeweave-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir()
@@ -84,6 +90,17 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    p, fs = _fs(spark, source)
+    if not fs.rename(p, _fs(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def mark_done(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, f"{path}/_SUCCESS")
+    fs.create(p, True).close()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     p, fs = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []

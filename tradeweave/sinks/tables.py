@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeweave import schemas as S
 from tradeweave.functions.scalar import days_before
-from tradeweave.session import child_names, path_exists, remove_path
+from tradeweave.session import child_names, mark_done, move_path, path_exists, remove_path
 
 DAY = "SettlementDate"
 
@@ -22,6 +24,9 @@ def stored_dates(spark: SparkSession, path: str) -> set[int]:
 def append_new_dates(df: DataFrame, path: str, clustered: bool = True) -> None:
     """Append only rows of dates the table does not hold yet; creates the table if absent.
 
+    Everything is written beside the table first and then moved in date by date, so a date is either
+    wholly there or not at all; what an interrupted run left behind is not read and loaded again.
+
     ``clustered`` says that tasks already hold few dates each; otherwise rows are rebalanced by date
     first (adaptive execution splits large dates), which keeps the number of files low.
     """
@@ -32,26 +37,27 @@ def append_new_dates(df: DataFrame, path: str, clustered: bool = True) -> None:
         df = df.join(F.broadcast(known), DAY, "left_anti")
     if not clustered:
         df = df.hint("rebalance", DAY)
-    df.write.mode("append").partitionBy(DAY).parquet(path)
+    stage = f"{path}/_stage-{uuid.uuid4().hex[:12]}"  # readers skip names that start so
+    df.write.partitionBy(DAY).parquet(stage)
+    for name in child_names(spark, stage):
+        if name.startswith(f"{DAY}="):
+            move_path(spark, f"{stage}/{name}", f"{path}/{name}")
+    mark_done(spark, path)
+    remove_path(spark, stage)
 
 
 def replace_dates(df: DataFrame, path: str) -> None:
     """Overwrite exactly the dates present in ``df``; other dates stay untouched."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", DAY).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(path)
     )
 
 
-def recent(df: DataFrame, today: int, days: int = S.RETENTION_DAYS) -> DataFrame:
-    """Rows a retention run keeps; the cut-off day itself is kept."""
-    return df.where(F.col(DAY) >= days_before(today, days))
-
-
 def prune(spark: SparkSession, path: str, today: int, days: int = S.RETENTION_DAYS) -> list[int]:
-    """Drop partitions older than the cut-off; returns the dropped dates."""
+    """Drop partitions older than the cut-off, which is kept itself; returns the dropped dates."""
     if not path_exists(spark, path):
         return []
     cutoff = days_before(today, days)

@@ -14,18 +14,41 @@ from tradeweave.session import Scratch
 _EXTRA = "_extra"  # some deliveries carry a 33rd, unused field
 
 
-def read_instructions(spark: SparkSession, path: str, scratch: Scratch) -> DataFrame:
-    """Header-less comma CSV of 32 or 33 fields, numbered per settlement date in file order."""
-    schema = T.StructType([*S.INSTRUCTION.fields, T.StructField(_EXTRA, T.StringType())])
+def read_instructions(spark: SparkSession, path: str, scratch: Scratch, rejects: str | None = None) -> DataFrame:
+    """Header-less comma CSV of 32 or 33 fields, numbered per settlement date in file order.
+
+    A blank field is a missing value, except for the settlement date. A record with a field that its type
+    cannot hold is not taken: the records so left out are written to the folder ``rejects`` (with the file
+    and the texts of the fields in question), or, without one, the first of them is named in an error.
+    """
+    names = [f.name for f in S.INSTRUCTION.fields]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
     raw = (
         spark.read.schema(schema)
         .option("header", False).option("sep", ",").option("emptyValue", "").option("nullValue", "\0")
         .csv(path)
     )
-    text = [f.name for f in S.INSTRUCTION.fields if isinstance(f.dataType, T.StringType)]
-    placed = raw.drop(_EXTRA).fillna("", subset=text).withColumns(_file_place())
-    order = ["_file", "_block", "_seq"]
-    return number_rows(placed, "SettlementDate", order, "row_id", scratch, "instructions").drop(*order)
+    fields, bad = [], []
+    for f in S.INSTRUCTION.fields:
+        if isinstance(f.dataType, T.StringType):
+            fields.append(F.coalesce(f.name, F.lit("")).alias(f.name))
+            continue
+        value = F.trim(f.name).try_cast(f.dataType)
+        fields.append(value.alias(f.name))
+        blank = F.coalesce(F.trim(f.name), F.lit("")) == ""
+        wrong = value.isNull() if f.name == "SettlementDate" else value.isNull() & ~blank
+        bad.append(F.when(wrong, F.struct(F.lit(f.name).alias("key"), F.coalesce(f.name, F.lit("")).alias("value"))))
+    placed = raw.select(*fields, F.map_from_entries(F.array_compact(F.array(*bad))).alias("_bad"), *[
+        c.alias(n) for n, c in _file_place().items()
+    ]).withColumn("_rejected", F.size("_bad") > 0)
+    order = ["_rejected", "_file", "_block", "_seq"]  # rejected ones take no numbers of others
+    rows = number_rows(placed, "SettlementDate", order, "row_id", scratch, "instructions")
+    left_out = rows.where("_rejected").select(*names, F.col("_file").alias("file"), F.col("_bad").alias("malformed"))
+    if rejects:
+        left_out.write.mode("overwrite").parquet(rejects)
+    elif first := left_out.select("file", "malformed").head(1):
+        raise ValueError(f"malformed fields in {first[0].file}: {first[0].malformed} (and perhaps more)")
+    return rows.where("NOT _rejected").drop("_bad", *order)
 
 
 def _file_place() -> dict[str, Column]:

@@ -257,7 +257,7 @@ def over(select: str, *ctes: str) -> str:
 
 
 def _micro(c: str) -> str:
-    return f"CAST(sum(CAST(floor({c} * CAST(1e6 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT)) AS DOUBLE) / CAST(1e6 AS DOUBLE)"
+    return f"CAST(sum(CAST(floor({c} * CAST(1e6 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS HUGEINT)) AS DOUBLE) / CAST(1e6 AS DOUBLE)"
 
 
 M = f"""count(*) AS instructions, {_micro('SettlementValue_SGD')} AS settlement_value,
@@ -311,8 +311,13 @@ def _top_query(dim: str, named: bool) -> str:
 _MEAS = "instructions, settlement_value, volume, revenue, net_fee"
 
 
-def _summary(by: str, participants: bool, tops: bool) -> str:
-    """Long summary table; ``by`` is '' or 'SettlementDate, '."""
+# The days and the range that the report jobs are run for.
+JOB_DAYS = [19960301, 19970801]
+JOB_RANGE = (19950601, 19970131)
+
+
+def _summary(by: str, participants: bool, tops: bool, part: bool = False) -> str:
+    """Long summary table; ``by`` is '' or 'SettlementDate, '; ``part``: over JOB_RANGE only."""
     group = by.rstrip(", ")
     grouped = f"GROUP BY {group}" if by else ""
     b, s, p = "Breakdown by Settlement type", "Breakdown by Transaction type", "Breakdown by Participants"
@@ -362,8 +367,11 @@ def _summary(by: str, participants: bool, tops: bool) -> str:
             section(p, "members", "Sender, DaName", "CDPSafeKeepingAccount = ''", value, "DaName", code),
         ]
     ctes = list(CHAIN)
+    if part:
+        ctes.append("ranged AS (SELECT * FROM output_daily WHERE SettlementDate BETWEEN {} AND {})".format(*JOB_RANGE))
+        parts = [x.replace("FROM output_daily", "FROM ranged") for x in parts]
     if tops:
-        ctes.append(SEGMENTS)
+        ctes.append(SEGMENTS.replace("FROM output_daily", "FROM ranged") if part else SEGMENTS)
         for sheet, dim, named, second in (
             ("Breakdown by Securities Type (Top 20)", "SecurityDescription", False, "''"),
             ("Breakdown by DA (Top 20)", "DaName", False, "''"),
@@ -442,9 +450,22 @@ def oracle() -> dict[str, str]:
     q["detailed"] = over(f"SELECT {', '.join(DETAIL_COLUMNS)} FROM output_daily", *charged)
     q["off_exchange_detail"] = over(
         f"SELECT {', '.join(_OFF)} FROM output_daily WHERE subsequent = '1' AND flag = 'Off-Exchange'", *charged)
-    q["detail_csv"] = over(
-        "SELECT SettlementDate, flag, count(*) AS instructions, count(NewFee) AS charged,"
-        " CAST(sum(row_id) AS BIGINT) AS id_sum FROM output_daily GROUP BY SettlementDate, flag", *charged)
+    texts = [c for c in DETAIL_COLUMNS if c not in (
+        "row_id", "SettlementDate", "Sender", "Quantity", "SettlementAmt", "Rate", "Price", "NewFee", "OldFee", "FeeGain",
+        "SettlementValue_BaseCurrency", "SettlementValue_SGD")]
+    q["detail_csv"] = over("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" if c in texts else c for c in DETAIL_COLUMNS)
+                           + " FROM output_daily", *charged)
+    last = ("(SELECT max(SettlementDate) FROM raw_psms WHERE Status = 'SETTLED' AND SettlementDate < 20010615)")
+    q["load_job_facts"] = over(
+        "SELECT row_id, SettlementDate, TransactionType, Sender, ISIN, Quantity, SettlementAmt, PSMSMatchedReference"
+        f" FROM raw_psms WHERE Status = 'SETTLED' AND SettlementDate = {last}", RAW)
+    q["load_job_rates"] = over(f"SELECT SettlementDate, Currency, Rate FROM rates WHERE SettlementDate = {last}", RAW, RATES)
+    q["load_job_prices"] = over(f"SELECT SettlementDate, ISIN, Price FROM ({q['price_files']}) WHERE SettlementDate = {last}", RAW)
+    q["detail_job"] = over(f"SELECT {', '.join(DETAIL_COLUMNS)} FROM output_daily WHERE SettlementDate IN"
+                           f" ({', '.join(map(str, JOB_DAYS))})", *charged)
+    q["weekly_report"] = _summary("", True, False, part=True)
+    q["monthly_range"] = _summary("", False, True, part=True)
+    q["split_groups"] = over(f"SELECT {_ROWS} FROM verdict", *first, REFERENCE, TURN, _apply("s2"))
     q["kpi_total"] = _kpi()
     q["kpi_first"] = _kpi(where="subsequent = '0'")
     q["kpi_subsequent"] = _kpi(where="subsequent = '1'")
