@@ -214,7 +214,8 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     bands, rows = bands_for(threshold, recall)
     slim = docs.select(key_of().alias("_key"), "text")
     signed = tmp.store(in_arrow(slim, _signatures(n, bands, rows), "_key long, h1 long, h2 long, bands array<long>"), "signed")
-    firsts = signed.groupBy("h1", "h2").agg(F.min("_key").alias("text"))
+    # stored, so that the join below reads it as it is and adaptive execution can split a text with many copies
+    firsts = tmp.store(signed.groupBy("h1", "h2").agg(F.min("_key").alias("text")), "firsts")
     classes = tmp.store(signed.join(firsts, ["h1", "h2"]).select("_key", "text", "h1", "h2", "bands"), "classes")
     heads = classes.where("_key = text").dropDuplicates(["h1", "h2"]).select(F.col("_key").alias("node"), F.explode("bands").alias("hub"))
     meeting = heads.groupBy("hub").count().where("count > 1").select("hub")
