@@ -186,7 +186,8 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.0, high: float =
     tmp = scratch(spark, "quality")
     columns = columns or ["doc_id", "lang"]
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("key")).distinct()
-    trusted = docs.select(key_of().alias("key"), "text").where("text IS NOT NULL").join(good, "key", "left_semi")
+    # a shuffle at every size: the labels grow with the documents, so they are never broadcast
+    trusted = docs.select(key_of().alias("key"), "text").where("text IS NOT NULL").join(good.hint("merge"), "key", "left_semi")
     probabilities, remainders = train(trusted, tmp)
     model = _packed(probabilities, "code", "p"), _packed(remainders, "context", "g")
     settle(spark)
