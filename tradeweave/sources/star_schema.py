@@ -28,12 +28,14 @@ _FIELDS = {
         WHEN 0 THEN 'FDVP' WHEN 1 THEN 'FDVP' WHEN 2 THEN 'FDVP' WHEN 3 THEN 'OFOP' WHEN 4 THEN 'OFOP'
         WHEN 5 THEN 'DVPT' WHEN 8 THEN 'DVPT' WHEN 6 THEN 'FOPT' WHEN 7 THEN 'CDIS' ELSE 'DCSS' END""",
     "TransferType": "CASE WHEN l_orderkey % 17 = 0 THEN 'SBLT' ELSE 'NORM' END",
-    "Sender": """CAST(CASE l_suppkey % 8 WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
-        ELSE 100 + l_suppkey % 8 END AS INT)""",
+    "Sender": """CAST(CASE l_suppkey WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
+        ELSE 1000 + l_suppkey END AS INT)""",
     "SGXSecurityCode": "concat('S', CAST(l_partkey DIV 300 AS STRING))",
     "ISIN": "concat('I', CAST(l_partkey AS STRING))",
     "SecurityDescription": "concat(p_name, ' ', p_brand)",
-    "CDPSafeKeepingAccount": "IF(o_custkey % 12 = 0, '', concat('A', CAST(o_custkey % 12 AS STRING)))",
+    "CDPSafeKeepingAccount": """CASE WHEN o_custkey % 12 = 0 THEN ''
+        WHEN o_custkey % 3 = 1 THEN concat('A', CAST(o_custkey AS STRING))
+        ELSE concat('A', CAST(o_custkey % 12 AS STRING)) END""",
     "Quantity": "l_quantity * 400",
     "SettlementCcy": """CASE WHEN o_custkey % 11 = 0 THEN 'EUR' WHEN o_custkey % 4 = 0 THEN 'USD'
         WHEN o_custkey % 4 = 1 THEN 'THB' ELSE 'SGD' END""",
@@ -98,15 +100,17 @@ class Star:
         )
 
     def agents(self) -> DataFrame:
-        return self["supplier"].where("s_suppkey < 7").select(
+        """Every supplier; one in nine has no name on file."""
+        return self["supplier"].where("s_suppkey % 9 <> 8").select(
             F.expr("""CAST(CASE s_suppkey WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
-                      ELSE 100 + s_suppkey END AS INT)""").alias("Sender"),
+                      ELSE 1000 + s_suppkey END AS INT)""").alias("Sender"),
             F.col("s_name").alias("DaName"),
         )
 
     def accounts(self) -> DataFrame:
+        """Every customer; one in eleven has no name on file."""
         return (
-            self["customer"].where("c_custkey BETWEEN 1 AND 10")
+            self["customer"].where("c_custkey % 11 <> 0")
             .join(self["nation"], F.expr("c_nationkey = n_nationkey"))
             .select(
                 F.expr("concat('A', CAST(c_custkey AS STRING))").alias("CDPSafeKeepingAccount"),

@@ -23,12 +23,13 @@ raw_psms AS (
          WHEN (l_orderkey*7 + l_linenumber*3 + l_suppkey) % 10 = 7 THEN 'CDIS'
          ELSE 'DCSS' END AS TransactionType,
     CASE WHEN l_orderkey % 17 = 0 THEN 'SBLT' ELSE 'NORM' END AS TransferType,
-    CAST(CASE l_suppkey % 8 WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
-         ELSE 100 + l_suppkey % 8 END AS INT) AS Sender,
+    CAST(CASE l_suppkey WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
+         ELSE 1000 + l_suppkey END AS INT) AS Sender,
     'S' || CAST(CAST(floor(l_partkey / 300.0) AS BIGINT) AS STRING) AS SGXSecurityCode,
     'I' || CAST(l_partkey AS STRING) AS ISIN,
     p_name || ' ' || p_brand AS SecurityDescription,
-    CASE WHEN o_custkey % 12 = 0 THEN '' ELSE 'A' || CAST(o_custkey % 12 AS STRING) END
+    CASE WHEN o_custkey % 12 = 0 THEN '' WHEN o_custkey % 3 = 1 THEN 'A' || CAST(o_custkey AS STRING)
+         ELSE 'A' || CAST(o_custkey % 12 AS STRING) END
       AS CDPSafeKeepingAccount,
     l_quantity * 400 AS Quantity,
     CASE WHEN o_custkey % 11 = 0 THEN 'EUR' WHEN o_custkey % 4 = 0 THEN 'USD'
@@ -60,13 +61,13 @@ prices AS (
 ),
 agents AS (
   SELECT CAST(CASE s_suppkey WHEN 0 THEN 561 WHEN 1 THEN 635 WHEN 2 THEN 690
-         ELSE 100 + s_suppkey END AS INT) AS Sender, s_name AS DaName
-  FROM supplier WHERE s_suppkey < 7
+         ELSE 1000 + s_suppkey END AS INT) AS Sender, s_name AS DaName
+  FROM supplier WHERE s_suppkey % 9 <> 8
 ),
 accounts AS (
   SELECT 'A' || CAST(c_custkey AS STRING) AS CDPSafeKeepingAccount, c_name AS CDPAccountName,
          n_name AS Location
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey BETWEEN 1 AND 10
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 11 <> 0
 )"""
 
 PREP = """
