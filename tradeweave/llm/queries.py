@@ -108,5 +108,65 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_PLAIN = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+win AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM (
+    SELECT doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') AS win
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20))
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM win WHERE nth > 1),
+kept AS (
+  SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) AS text, count(*) AS n
+  FROM word LEFT JOIN gone ON gone.doc_id = word.doc_id AND gone.i = word.i WHERE gone.i IS NULL GROUP BY word.doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+OP4_SQL = f"""
+WITH it AS (SELECT CAST(item_id AS VARCHAR) AS item, {_PLAIN} AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (
+  SELECT DISTINCT item, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS win
+  FROM (SELECT item, w, least(13, len(w)) AS size, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM it WHERE len(w) > 0)
+),
+d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+place AS (
+  SELECT doc_id, size, i, array_to_string(list_slice(w, i, i + size - 1), ' ') AS win
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM d CROSS JOIN (SELECT DISTINCT size FROM win) s WHERE len(w) >= size)
+),
+hit AS (SELECT p.doc_id, p.i, p.size, x.item FROM place p JOIN win x ON x.win = p.win AND x.size = p.size),
+covered AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS i FROM hit) c GROUP BY doc_id),
+owned AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) o GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(o.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(o.items, '')) AS items_sha256, coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN owned o ON o.doc_id = d.doc_id"""
+
+OP8_SQL = """
+WITH part AS (
+  SELECT vec_id, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS i, len(embedding) AS size
+  FROM embeddings WHERE vec_id IS NOT NULL
+),
+usable AS (SELECT vec_id FROM part GROUP BY vec_id HAVING count(x) = count(*) AND bool_and(isfinite(x))),
+whole AS (
+  SELECT p.vec_id, p.i, p.size, CAST(floor(64 * CAST(p.x AS DOUBLE)) AS BIGINT) AS v FROM part p JOIN usable u ON u.vec_id = p.vec_id
+),
+score AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.v * c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON c.i = q.i AND c.size = q.size AND c.vec_id <> q.vec_id
+  WHERE q.vec_id % 20 = 0 GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM score) r
+WHERE rank <= 20"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_substring_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_exact_topk": OP8_SQL}
