@@ -79,7 +79,18 @@ def hot_rows():
     return rows
 
 
-@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=16, block_rows_log2=4, small_list=0)])
+def test_long_chain_of_turnarounds(spark):
+    """Each turnaround links one more instruction by quantity; rows and histogram are rewritten on the way."""
+    rows = [(1, 20200101, "S", "DVPT", "NORM", "X", "A0", 5.0, "Q0"), (2, 20200101, "B", "FDVP", "NORM", "X", "A0", 5.0, "C1")]
+    for k in range(1, 14):  # C(k) links a seller of account k by reference, which then supplies a buyer there
+        rows.append((10 * k, 20200101, "S", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k}"))
+        rows.append((10 * k + 1, 20200101, "B", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k + 1}"))
+    frame, got = run(spark, rows, M.Limits(pending=3))
+    assert got == link_all(frame.collect())
+    assert max(int(c.split()[-1]) for c in got.values() if "Turnaround" in c) >= 13
+
+
+@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=16, block_rows_log2=4, small_list=0, pending=1)])
 def test_hot_group_and_hot_cell(spark, limits):
     frame, got = run(spark, hot_rows(), limits)
     assert got == link_all(frame.collect())

@@ -202,6 +202,14 @@ class LinkState:
             self.rows_at = len(self.links)
         return found
 
+    def waiting(self, since: int) -> bool:
+        """Whether so many link tables came since then that reading them each time costs more than a rewrite."""
+        return len(self.links) - since >= self.limits.pending
+
+    def rewrite_rows(self, name: str) -> None:
+        self.rows = self.scratch.store(self.open(), name)
+        self.rows_at = len(self.links)
+
     def histogram(self, near=lambda df: df) -> DataFrame:
         """Current have/want per cell of the groups that ``near`` keeps."""
         cells = near(self.cells)
@@ -304,7 +312,9 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
         tag = only_by_reference if keep else tag_by_reference
         tagged = tag(state.open(), state.linked(before), _turn(S.REFERENCE_LINK, turn))
         state.store(tagged, f"r{turn}", rewrite=not keep)
-        if not state.few(state.cells_at):
+        if state.waiting(state.rows_at):
+            state.rewrite_rows(f"open{turn}")
+        if state.waiting(state.cells_at) or not state.few(state.cells_at):
             state.compact(f"cells{turn}")
     return _finish(state)
 

@@ -39,6 +39,7 @@ class Limits:
     max_cells: int = 2048        # distinct quantities walked in one array
     block_rows_log2: int = 22    # rows of one equal-quantity cell ordered in one task
     small_list: int = 100_000    # measured row count up to which a key list is broadcast
+    pending: int = 16            # link tables taken out of rows and histogram on the fly before these are rewritten
 
 
 def _amount(count: str) -> str:
