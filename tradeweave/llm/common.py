@@ -156,10 +156,6 @@ class Words:
         at = np.arange(len(self) - size + 1)
         return at[self.doc[at] == self.doc[at + size - 1]]
 
-    def text(self, i: int, j: int) -> bytes:
-        """Words i to j - 1 of one document, joined by one blank."""
-        return b" ".join(self.data[self.start[i]:self.end[j - 1]].split()) if j > i else b""
-
 
 def longs(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))

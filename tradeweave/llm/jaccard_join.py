@@ -10,7 +10,6 @@ a task passes on counts of links and the edges of a spanning forest, never the p
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -18,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tradeweave.llm.common import Words, in_arrow, key_of, longs, mix, scratch, settle, span_hashes, steps
 
