@@ -234,6 +234,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     edges = found.select(F.col("_key").alias("node"), F.col("root").alias("hub")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("hub")))
     groups = components(edges, tmp, "group")
     by_text = counts.join(groups, counts["_key"] == groups["node"], "left").select(F.col("_key").alias("text"), "n_links", "comp")
+    by_text = tmp.store(by_text, "by-text")  # as above: a text with many copies is split in the next join
     answer = (
         classes.select("_key", "text").join(by_text, "text", "left")
         .groupBy("_key").agg(F.min(F.coalesce("comp", "text")).alias("class"), F.min("text").alias("text"), F.max("n_links").alias("n_links"))

@@ -188,7 +188,8 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -
     settle(spark)
 
     first = tmp.store(blocks.groupBy("anchor", "block").agg(F.min("_key").alias("first")), "first")
-    several = first.groupBy("anchor").count().where("count > 1").select("anchor")
+    # stored, so that adaptive execution can split a frequent anchor in the join with it
+    several = tmp.store(first.groupBy("anchor").count().where("count > 1").select("anchor"), "several")
     placed = blocks.join(first, ["anchor", "block"])
     later = placed.where("_key > first").select("_key", F.col("block").alias("code"))
     owners = placed.where("_key = first").join(several, "anchor", "left_semi").select("_key", "anchor", F.explode("codes").alias("code"))
@@ -196,7 +197,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -
     window_first = owners.groupBy("anchor", "code").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
     boundary = owners.join(window_first, ["anchor", "code"]).where("_key > first").select("_key", "code")
     marks = tmp.store(later.unionByName(boundary).groupBy("_key").agg(F.collect_set("code").alias("codes")), "marks")
-    tmp.forget("blocks", "first", "owners")
+    tmp.forget("blocks", "first", "several", "owners")
     settle(spark)
     out = T.StructType([rows.schema["row"]]).add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
     if with_text:
