@@ -71,6 +71,25 @@ def test_perplexity_equals_plain_version(spark):
         assert got[i] is None if not t else got[i] == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-4)
 
 
+def test_scripts_and_capitals_are_not_collapsed(spark):
+    """Scrambled letters are unlikely in any script."""
+    rnd = random.Random(8)
+    rows = []
+    for lang, words in (("ru", "мама мыла раму вечером папа читал книгу утром дети играли около дома".split()),
+                        ("el", "καλημερα κοσμε σημερα εχει ηλιο αυριο βροχη παιδια παιζουν στο παρκο".split()),
+                        ("EN", "THE HOUSE STANDS NEAR RIVER WHERE OLD PEOPLE WALK EVERY MORNING".split())):
+        scrambled = ["".join(rnd.sample(w, len(w))) for w in words]
+        text = lambda source, seed: " ".join(random.Random(seed).choices(source, k=400))
+        rows += [(len(rows) + i, text(words, i), lang) for i in range(30)]
+        rows.append((len(rows), text(scrambled, 1), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i, _, _ in rows if i % 31 < 30], "doc_id long, quality int")
+    got = {r.doc_id: r for r in Q.quality(docs, labels).select("row.doc_id", "perplexity", "keep").collect()}
+    for start in (0, 31, 62):
+        assert all(got[start + i].keep for i in range(30))
+        assert got[start + 30].perplexity > 2 * got[start + 1].perplexity and not got[start + 30].keep
+
+
 def test_quality_odd_cases(spark, docs, no_docs, rows):
     labels = spark.createDataFrame([(i, 1, "k") for i in range(0, 90)] + [(3, 0, "k"), (3, 1, "k"), (None, 1, "k"), (4, None, "k")], "doc_id long, quality int, key string")
     found = Q.quality(docs, labels, columns=docs.columns).select("row.*", "perplexity", "highest", "keep").collect()

@@ -1,11 +1,12 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters, told apart by 64 classes (letters with their accents, digits, white space,
-punctuation), four at a time. Counts come from all trusted texts, are summed in each task and meet in
+The model is over characters as they stand, in every script, four UTF-16 units at a time (a character beyond
+the first plane is two of them). Counts come from all trusted texts, are summed in each task and meet in
 tables sharded by n-gram; every order's probabilities are made by joining its counts with those of their
-contexts and with the order below. An n-gram is one of 64**4, so the finished tables have a proven bound
-and are looked up where the documents are. A document is rejected if its perplexity lies outside
-quantiles that trusted documents of its language set.
+contexts and with the order below. The tables grow with what the trusted texts hold, so they stay tables:
+documents are dealt into chunks of some megabytes, each chunk's distinct n-grams are joined with them, and
+the logs come back to the chunk, where they are summed for each document. A document is rejected if its
+perplexity lies outside quantiles that trusted documents of its language set.
 """
 
 from __future__ import annotations
@@ -14,52 +15,36 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeweave.llm.common import in_arrow, key_of, rows_with_text, scratch, settle, steps
+from tradeweave.llm.common import in_arrow, key_of, longs, rows_with_text, scratch, settle, steps
 
-ORDER, BITS = 4, 6
-CLASSES = 1 << BITS
-SHARDS = 64
+#: Length of an n-gram and bits of each of its symbols; symbols that the base distribution spreads over at least.
+ORDER, BITS, LEAST = 4, 16, 64
+#: Bytes of text in a chunk, on average; n-grams that a task holds before it sums them up.
+CHUNK, HELD = 8 << 20, 2_000_000
 
-# The characters that have a class of their own, in order of class, from class 4 on.
-_OWN = "abcdefghijklmnopqrstuvwxyzàáâäãçèéêëìíîïñòóôöõùúûüßœ"
-_START, _BLANK, _BREAK, _DIGIT, _UPPER, _OTHER_LETTER, _STOP, _COMMA, _QUOTE, _HYPHEN, _ASCII_SIGN, _SIGN = 0, 1, 2, 3, 56, 57, 58, 59, 60, 61, 62, 63
+#: Symbol of each character below U+0251: every one is its own.
+_CLASS = np.arange(0x251)
 
 
-def _classes() -> np.ndarray:
-    """Class of each character below U+0250; the last entry is for all others."""
-    out = np.full(0x251, _SIGN, np.int32)
-    for c in range(0x250):
-        ch = chr(c)
-        out[c] = (
-            _START if c == 0 else _BLANK if ch == " " else _BREAK if ch.isspace() else _DIGIT if ch.isdigit()
-            else 4 + _OWN.index(ch) if ch in _OWN else _UPPER if ch.isupper() else _OTHER_LETTER if ch.isalpha()
-            else _STOP if ch in ".?" else _COMMA if ch in ",;:" else _QUOTE if ch in "'\"" else _HYPHEN if ch in "-_" else _ASCII_SIGN if c < 128 else _SIGN)
-    out[0x250] = _OTHER_LETTER
-    return out
-
-
-_CLASS = _classes()
-
-
-def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """n-gram code ending at each character, and the number of characters of each text."""
+def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """n-gram code ending at each UTF-16 unit, and the numbers of units and of characters of each text."""
     plain = [t.decode() for t in texts]
-    size = np.array([len(t) for t in plain], np.int64)
-    pad = "\0" * (ORDER - 1)
-    chars = np.frombuffer((pad + pad.join(plain)).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = _CLASS[np.minimum(chars, 0x250)]
-    code = kind.copy()
+    units = [t.encode("utf-16-le", "surrogatepass") for t in plain]
+    size = np.array([len(u) // 2 for u in units], np.int64)
+    pad = b"\0" * 2 * (ORDER - 1)
+    code = np.frombuffer(pad + pad.join(units), np.uint16).astype(np.uint64)
+    kind = code.copy()
     for back in range(1, ORDER):
-        code[back:] |= kind[:-back] << (BITS * back)
+        code[back:] |= kind[:-back] << np.uint64(BITS * back)
     begins = np.cumsum(size + ORDER - 1) - size
     keep = np.zeros(len(code) + 1, np.int32)
     np.add.at(keep, begins, 1)
     np.add.at(keep, begins + size, -1)
-    return code[np.cumsum(keep)[:-1] > 0], size
+    return code[np.cumsum(keep)[:-1] > 0], size, np.array([len(t) for t in plain], np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,12 +60,46 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes.append(found)
         counts.append(n)
         held += len(found)
-        if held > 2_000_000:
+        if held > HELD:
             one, n = merged()
-            codes, counts, held = [one], [n], len(one)
+            yield pa.record_batch([longs(one), pa.array(n, pa.int64())], ["code", "n"])
+            codes, counts, held = [], [], 0
     if codes:
         one, n = merged()
-        yield pa.record_batch([pa.array(one, pa.int32()), pa.array(n, pa.int64())], ["code", "n"])
+        yield pa.record_batch([longs(one), pa.array(n, pa.int64())], ["code", "n"])
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct n-grams of each chunk; the rows of a chunk stand together."""
+    chunk, codes, held = None, [], 0
+
+    def out() -> pa.RecordBatch:
+        one = np.unique(np.concatenate(codes))
+        return pa.record_batch([pa.array(np.full(len(one), chunk), pa.int32()), longs(one)], ["chunk", "code"])
+
+    for batch in batches:
+        for lo, hi in _runs(batch.column("chunk").to_numpy()):
+            here = batch.column("chunk")[lo].as_py()
+            if codes and (here != chunk or held > HELD):
+                yield out()
+                codes, held = [], 0
+            chunk = here
+            for _, texts in steps(iter([batch.slice(lo, hi - lo)]), "text"):
+                codes.append(np.unique(_codes(texts)[0]))
+                held += len(codes[-1])
+                if held > HELD:
+                    yield out()
+                    codes, held = [], 0
+    if codes:
+        yield out()
+
+
+def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of equal values."""
+    if not len(values):
+        return []
+    edges = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return list(zip(edges[:-1], edges[1:]))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -92,83 +111,100 @@ def discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.1), i + 0.95) for i, d in enumerate(raw))
 
 
-def train(trusted: DataFrame, tmp) -> tuple[DataFrame, DataFrame]:
-    """(probabilities: size, code, p; remainders: size, context, g) of orders 1 to 4 from the texts of trusted."""
-    counts = tmp.store(in_arrow(trusted.select("text"), _count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")), "counts4")
+def _suffix(size: int) -> Column:
+    """The last so many symbols of a code."""
+    return F.col("code").bitwiseAND(F.lit((1 << (BITS * size)) - 1))
+
+
+def train(trusted: DataFrame, tmp) -> tuple[dict[int, tuple[DataFrame, DataFrame]], float]:
+    """By order 1 to 4 (code, p) and (context, g: what is left for unseen symbols), and the base probability."""
+    counts = tmp.store(in_arrow(trusted.select("text"), _count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "counts4")
     tables = {ORDER: counts}
     for size in range(ORDER - 1, 0, -1):  # how many different characters go before
-        mask = (1 << (BITS * size)) - 1
-        shorter = tables[size + 1].groupBy(F.col("code").bitwiseAND(F.lit(mask)).alias("code")).agg(F.count("*").alias("n"))
+        shorter = tables[size + 1].groupBy(_suffix(size).alias("code")).agg(F.count("*").alias("n"))
         tables[size] = tmp.store(shorter, f"counts{size}")
-    lower, found, rest = None, None, None
+    base = 1 / max(LEAST, tables[1].count() + 1)
+    found: dict[int, tuple[DataFrame, DataFrame]] = {}
     for size in range(1, ORDER + 1):
-        table = tables[size].withColumn("context", F.shiftright("code", BITS))
+        table = tables[size].withColumn("context", F.shiftrightunsigned("code", BITS))
         d1, d2, d3 = discounts(table)
         n = F.col("n")
         off = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
-        contexts = table.groupBy("context").agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("g"))
+        contexts = tmp.store(table.groupBy("context").agg(F.sum("n").alias("total"), (F.sum(off) / F.sum("n")).alias("g")), f"g{size}")
         joined = table.join(contexts, "context")
         own = (n - off) / F.col("total")
+        if size == 1:
+            here = joined.select("code", (own + F.col("g") * base).alias("p"))
+        else:
+            below = found[size - 1][0].select(F.col("code").alias("suffix"), F.col("p").alias("q"))
+            here = joined.withColumn("suffix", _suffix(size - 1)).join(below, "suffix").select("code", (own + F.col("g") * F.col("q")).alias("p"))
+        found[size] = tmp.store(here, f"p{size}"), contexts.select("context", "g")
+    return found, base
+
+
+def _chunked(docs: DataFrame, columns: list[str], chunks: int) -> tuple[DataFrame, str]:
+    """Rows as rows_with_text gives them, with their chunk: equal rows are in the same one wherever they are read."""
+    rows, column = rows_with_text(docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")), ["_chunk", *columns])
+    kept = F.struct(*[F.col("row").getField(c).alias(c) for c in columns]).alias("row")
+    return rows.select(F.col("row._chunk").alias("chunk"), kept, *[c for c in rows.columns if c != "row"]), column
+
+
+def logs_of(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], base: float, chunks: int, tmp) -> DataFrame:
+    """(chunk, code, log): log probability of every n-gram of the full order that a chunk of the documents holds."""
+    texts = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "text").where("text <> ''")
+    dealt = texts.repartition("chunk").sortWithinPartitions("chunk")
+    asked = tmp.store(in_arrow(dealt, _asked, "chunk int, code long").distinct(), "asked")
+    want = {ORDER: tmp.store(asked.select("code").distinct(), f"want{ORDER}")}
+    for size in range(ORDER - 1, 0, -1):
+        want[size] = tmp.store(want[size + 1].select(_suffix(size).alias("code")).distinct(), f"want{size}")
+    lower = None
+    for size in range(1, ORDER + 1):
+        table, rest = model[size]
+        here = want[size].join(table, "code", "left").withColumn("context", F.shiftrightunsigned("code", BITS)).join(rest, "context", "left")
         if lower is None:
-            here = joined.select("code", (own + F.col("g") / CLASSES).alias("p"))
+            here = here.withColumn("q", F.lit(base))
         else:
-            below = lower.select(F.col("code").alias("suffix"), F.col("p").alias("q"))
-            mask = (1 << (BITS * (size - 1))) - 1
-            here = joined.withColumn("suffix", F.col("code").bitwiseAND(F.lit(mask))).join(below, "suffix").select("code", (own + F.col("g") * F.col("q")).alias("p"))
-        lower = tmp.store(here, f"p{size}")
-        mine = lower.select(F.lit(size).alias("size"), "code", "p")
-        left = contexts.select(F.lit(size).alias("size"), "context", "g")
-        found = mine if found is None else found.unionByName(mine)
-        rest = left if rest is None else rest.unionByName(left)
-    return found, rest
-
-
-def _packed(table: DataFrame, key: str, value: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By order, the keys and values; at most 64**4 rows by construction."""
-    got = table.select("size", F.col(key).cast("int").alias(key), F.col(value).cast("float").alias(value)).toArrow()
-    size = got.column("size").to_numpy()
-    return {n: (got.column(key).to_numpy()[size == n], got.column(value).to_numpy()[size == n]) for n in range(1, ORDER + 1)}
-
-
-_worker: dict[str, tuple[object, np.ndarray]] = {}
-
-
-def _logs(shared) -> np.ndarray:
-    """Log probability of every n-gram of the full order; made once for each worker."""
-    model = shared.value
-    if _worker.get("model", (None,))[0] is not model:
-        probabilities, remainders = model
-        p = np.full(1, 1 / CLASSES, np.float32)
-        for size in range(1, ORDER + 1):
-            g = np.ones(CLASSES ** (size - 1), np.float32)
-            g[remainders[size][0]] = remainders[size][1]
-            p = np.tile(p, CLASSES)  # in place from here on: the largest table has 64 MB
-            p.reshape(-1, CLASSES)[:] *= g[:, None]
-            p[probabilities[size][0]] = probabilities[size][1]
-        _worker["model"] = model, np.log(p, out=p)
-    return _worker["model"][1]
-
-
-def _score(shared, column: str):
+            here = here.withColumn("suffix", _suffix(size - 1)).join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("q")), "suffix")
+        lower = tmp.store(here.select("code", F.coalesce("p", F.coalesce("g", F.lit(1.0)) * F.col("q")).alias("p")), f"all{size}")
+    return tmp.store(asked.join(lower, "code").select("chunk", "code", F.log("p").alias("log")), "logs")
+
+
+def _score(column: str):
+    """Rows of a chunk: first its n-grams with their logs, then its documents."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = _logs(shared)
-        for batch, texts in steps(batches, column):
-            codes, size = _codes(texts)
-            total = np.concatenate([[0.0], np.cumsum(logs[codes], dtype=np.float64)])
-            ends = np.cumsum(size)
-            mean = (total[ends] - total[ends - size]) / np.maximum(size, 1)
-            yield pa.record_batch(
-                [batch.column("row"), pa.array(np.exp(-mean), mask=size == 0), pa.array(size)], ["row", "perplexity", "chars"])
+        chunk, parts, codes, logs = None, [], np.zeros(0, np.uint64), np.zeros(0)
+        for batch in batches:
+            at, gram = batch.column("chunk").to_numpy(), batch.column("code").is_valid().to_numpy(zero_copy_only=False)
+            for lo, hi in _runs(at.astype(np.int64) * 2 + ~gram):
+                if at[lo] != chunk:
+                    chunk, parts, codes, logs = at[lo], [], np.zeros(0, np.uint64), np.zeros(0)
+                part = batch.slice(lo, hi - lo)
+                if gram[lo]:
+                    parts.append((part.column("code").to_numpy().view(np.uint64), part.column("log").to_numpy()))
+                    continue
+                if parts:
+                    codes, logs = (np.concatenate(x) for x in zip(*parts))
+                    order = np.argsort(codes)
+                    parts, codes, logs = [], codes[order], logs[order]
+                for rows, texts in steps(iter([part]), column):
+                    found, size, chars = _codes(texts)
+                    total = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(codes, found)] if len(found) else [])])
+                    ends = np.cumsum(size)
+                    mean = (total[ends] - total[ends - size]) / np.maximum(chars, 1)
+                    yield pa.record_batch([rows.column("row"), pa.array(np.exp(-mean), mask=chars == 0), pa.array(chars)], ["row", "perplexity", "chars"])
 
     return work
 
 
-def _scored(docs: DataFrame, shared, columns: list[str]) -> DataFrame:
-    rows, column = rows_with_text(docs, columns)
-    return in_arrow(rows, _score(shared, column), T.StructType([rows.schema["row"]]).add("perplexity", "double").add("chars", "long"))
+def _scored(docs: DataFrame, logs: DataFrame, chunks: int, columns: list[str]) -> DataFrame:
+    rows, column = _chunked(docs, columns, chunks)
+    kind = rows.schema["row"].dataType
+    both = rows.unionByName(logs.withColumn("row", F.lit(None).cast(kind)), allowMissingColumns=True)
+    dealt = both.repartition("chunk").sortWithinPartitions("chunk", F.col("code").isNull())
+    return in_arrow(dealt, _score(column), T.StructType().add("row", kind).add("perplexity", "double").add("chars", "long"))
 
 
-def quality(docs: DataFrame, labels: DataFrame, low: float = 0.0, high: float = 0.99, spread: float = 4.0,
+def quality(docs: DataFrame, labels: DataFrame, low: float = 0.01, high: float = 0.99, spread: float = 4.0,
             columns: list[str] | None = None) -> DataFrame:
     """Perplexity of every document, the bounds for its language, and whether it is kept.
 
@@ -188,16 +224,17 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.0, high: float =
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("key")).distinct()
     # a shuffle at every size: the labels grow with the documents, so they are never broadcast
     trusted = docs.select(key_of().alias("key"), "text").where("text IS NOT NULL").join(good.hint("merge"), "key", "left_semi")
-    probabilities, remainders = train(trusted, tmp)
-    model = _packed(probabilities, "code", "p"), _packed(remainders, "context", "g")
+    model, base = train(trusted, tmp)
+    chunks = max(1, -(-(docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0) // CHUNK))
+    settle(spark)
+    logs = logs_of(docs, model, base, chunks, tmp)
     settle(spark)
-    shared = spark.sparkContext.broadcast(model)
-    scores = tmp.store(_scored(docs, shared, ["doc_id", "lang"]), "scores")
+    scores = tmp.store(_scored(docs, logs, chunks, ["doc_id", "lang"]), "scores")
     known = scores.where("perplexity IS NOT NULL").select(key_of("row.doc_id").alias("key"), "row.lang", "perplexity").join(good, "key", "left_semi")
     at = [F.expr(f"percentile_approx(perplexity, {q}, 100000)").alias(n) for q, n in ((low, "_low"), (high, "_high"))]
     bounds = tmp.store(known.groupBy(F.col("lang").alias("_lang")).agg(*at), "bounds")
     anywhere = known.agg(*at).first()
-    out = scores if columns == ["doc_id", "lang"] else _scored(docs, shared, list(dict.fromkeys([*columns, "lang"])))
+    out = scores if columns == ["doc_id", "lang"] else _scored(docs, logs, chunks, list(dict.fromkeys([*columns, "lang"])))
     wider = F.exp(F.lit(spread) / F.sqrt(F.greatest("chars", F.lit(1))))
     lowest = F.coalesce("_low", F.lit(anywhere["_low"]).cast("double")) / wider if low > 0 else F.lit(0.0)
     highest = F.coalesce("_high", F.lit(anywhere["_high"]).cast("double")) * wider
