@@ -66,3 +66,18 @@ def test_chain_of_links(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = J.jaccard_join(docs).collect()
     assert {r.class_id for r in got} == {0} and max(r.n_links for r in got) <= 4
+
+
+def test_repeated_head_is_no_link(spark):
+    """A document that stands there several times is one text class to its near copy; so are rows without an id."""
+    base = [f"w{i}" for i in range(100)]
+    text, near = " ".join(base), " ".join([*base[:-1], "other"])
+    docs = spark.createDataFrame([(1, text)] * 4 + [(2, near)], "doc_id long, text string")
+    got = J.jaccard_join(docs).collect()
+    assert len(got) == 5 and {(r.class_id, r.n_links) for r in got} == {(1, 1)}
+    assert sorted((r.doc_id, r.text_id) for r in got) == [(1, 1)] * 4 + [(2, 2)]
+    far = " ".join(f"v{i}" for i in range(100))
+    docs = spark.createDataFrame([(None, text), (None, far), (None, near), (7, near), (8, far), (8, "x y z")], "doc_id long, text string")
+    got = J.jaccard_join(docs).collect()
+    assert sum(r.is_first for r in got) == 3 and {r.n_links for r in got if r.doc_id == 7} == {1}
+    assert [r.class_id for r in got if r.doc_id == 8 and r.is_first] == [8]

@@ -73,9 +73,10 @@ def _signatures(n: int, bands: int, rows: int):
             other = np.concatenate([[np.uint64(0)], np.cumsum(mix(s.grams, 23), dtype=np.uint64)])
             for x, t in zip(whole, (total, other)):
                 x[:] = mix(t[s.first + s.size] - t[s.first], 29)
-            key = batch.column("_key").to_numpy()
+            key, content = batch.column("_key").to_numpy(), batch.column("_content").to_numpy()
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * bands), longs(out.ravel()))
-            yield pa.record_batch([longs(key[some]), longs(whole[0][some]), longs(whole[1][some]), flat], ["_key", "h1", "h2", "bands"])
+            yield pa.record_batch(
+                [longs(key[some]), longs(content[some]), longs(whole[0][some]), longs(whole[1][some]), flat], ["_key", "_content", "h1", "h2", "bands"])
 
     return work
 
@@ -86,9 +87,9 @@ def _grams(n: int):
             s = _Sets(texts, n)
             ends = s.first + s.size
             yield pa.record_batch(
-                [batch.column("_key"), batch.column("cluster"), batch.column("parts"),
+                [batch.column("node"), batch.column("cluster"), batch.column("parts"),
                  pa.array([s.grams[a:b].tobytes() for a, b in zip(s.first, ends)], pa.binary())],
-                ["_key", "cluster", "parts", "grams"])
+                ["node", "cluster", "parts", "grams"])
 
     return work
 
@@ -146,7 +147,7 @@ def _compare(threshold: float):
         out: list[tuple[int, int, int]] = []
         group, rows = None, []
         for batch in batches:
-            names = ["cluster", "low", "high", "_key", "block", "grams"]
+            names = ["cluster", "low", "high", "node", "block", "grams"]
             for cluster, low, high, key, block, grams in zip(*(batch.column(c).to_pylist() for c in names)):
                 if (cluster, low, high) != group:
                     if group:
@@ -165,7 +166,7 @@ def _compare(threshold: float):
 
 def _links(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [[], [], []]
-    return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["_key", "links", "root"])
+    return pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["node", "links", "root"])
 
 
 def components(members: DataFrame, tmp, label: str) -> DataFrame:
@@ -194,15 +195,15 @@ def components(members: DataFrame, tmp, label: str) -> DataFrame:
 def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
     """For every row of docs (doc_id, text): its class, its text class and its links.
 
-    doc_id; class_id: smallest doc_id of all documents joined to it by links or equality, directly or
-    through others; text_id: smallest doc_id with the same set of n-grams; n_links: how many other text
-    classes have a similarity of threshold or more to it (Jaccard index of the sets of n-grams); is_first:
-    whether it is the document that names the class.
+    doc_id; class_id: smallest doc_id of all rows joined to it by links or equality, directly or through
+    others; text_id: smallest doc_id with the same set of n-grams; n_links: how many other text classes have
+    a similarity of threshold or more to it (Jaccard index of the sets of n-grams); is_first: whether it is
+    the document, that is doc_id and text, that names the class; key, content: doc_id and text as hashes.
 
     Words are runs of anything but blank and \\t\\n\\v\\f\\r. A document of fewer words than n, but not none, has
     one n-gram. Documents without words, or null, are alone in their class and have no links. A null doc_id
-    counts as the smallest and gives null classes; rows that share a doc_id are one document with several
-    texts, whose classes they join.
+    counts as the smallest and gives null classes. Each row is judged by its own text, also where rows share
+    a doc_id or have none; rows with equal doc_id and text (by 64 bits) are one document.
 
     A pair of text classes at the threshold is found with probability recall or more; whatever is found is
     verified. Equality of sets is by 128 bits, n-grams are compared by 64.
@@ -210,36 +211,45 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     spark = docs.sparkSession
     tmp = scratch(spark, "jaccard")
     bands, rows = bands_for(threshold, recall)
-    slim = docs.select(key_of().alias("_key"), "text")
-    signed = tmp.store(in_arrow(slim, _signatures(n, bands, rows), "_key long, h1 long, h2 long, bands array<long>"), "signed")
-    # stored, so that the join below reads it as it is and adaptive execution can split a text with many copies
-    firsts = tmp.store(signed.groupBy("h1", "h2").agg(F.min("_key").alias("text")), "firsts")
-    classes = tmp.store(signed.join(firsts, ["h1", "h2"]).select("_key", "text", "h1", "h2", "bands"), "classes")
-    heads = classes.where("_key = text").dropDuplicates(["h1", "h2"]).select(F.col("_key").alias("node"), F.explode("bands").alias("hub"))
+    content = F.xxhash64("text").alias("_content")
+    slim = docs.select(key_of().alias("_key"), content, "text")
+    signed = tmp.store(in_arrow(slim, _signatures(n, bands, rows), "_key long, _content long, h1 long, h2 long, bands array<long>"), "signed")
+    # stored, so that nodes keep their numbers, and adaptive execution can split a text with many copies in the join below
+    first = F.min(F.struct("_key", "_content")).alias("head")
+    firsts = tmp.store(signed.groupBy("h1", "h2").agg(first).withColumn("node", F.monotonically_increasing_id()), "firsts")
+    classes = tmp.store(signed.join(firsts, ["h1", "h2"]).select("_key", "_content", "head", "node", "bands"), "classes")
+    own = (F.col("_key") == F.col("head._key")) & (F.col("_content") == F.col("head._content"))
+    heads = classes.where(own).dropDuplicates(["node"]).select("node", F.explode("bands").alias("hub"))
     meeting = heads.groupBy("hub").count().where("count > 1").select("hub")
     clusters = components(heads.join(meeting, "hub"), tmp, "meet")
     sized = clusters.groupBy(F.col("comp").alias("cluster")).agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
-    placed = tmp.store(clusters.withColumnRenamed("comp", "cluster").join(sized, "cluster").where("n > 1").select(F.col("node").alias("_key"), "cluster", parts), "placed")
+    located = clusters.withColumnRenamed("comp", "cluster").join(sized, "cluster").where("n > 1").join(firsts, "node")
+    placed = tmp.store(located.select("node", "head._key", "head._content", "cluster", parts), "placed")
     settle(spark)
-    wanted = slim.join(placed, "_key")
-    sets = in_arrow(wanted, _grams(n), "_key long, cluster long, parts int, grams binary")
-    block = F.pmod(F.xxhash64("_key"), F.col("parts")).cast("int")
+    wanted = slim.join(placed, ["_key", "_content"]).dropDuplicates(["node"])  # a repeated row is no other text class
+    sets = in_arrow(wanted, _grams(n), "node long, cluster long, parts int, grams binary")
+    block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     meet = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "_key", "block", "grams")
+        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "block", "grams")
     ordered = meet.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
-    found = tmp.store(in_arrow(ordered, _compare(threshold), "_key long, links long, root long"), "links")
+    found = tmp.store(in_arrow(ordered, _compare(threshold), "node long, links long, root long"), "links")
     settle(spark)
-    counts = found.groupBy("_key").agg(F.sum("links").alias("n_links"))
-    edges = found.select(F.col("_key").alias("node"), F.col("root").alias("hub")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("hub")))
-    groups = components(edges, tmp, "group")
-    by_text = counts.join(groups, counts["_key"] == groups["node"], "left").select(F.col("_key").alias("text"), "n_links", "comp")
+    counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
+    edges = found.select("node", F.col("root").alias("hub")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("hub")))
+    groups = tmp.store(components(edges, tmp, "group").join(firsts.select("node", "head"), "node"), "groups")
+    names = groups.groupBy("comp").agg(F.min("head").alias("lead"))
+    by_text = groups.join(names, "comp").join(counts, "node").select("node", "n_links", "lead")
     by_text = tmp.store(by_text, "by-text")  # as above: a text with many copies is split in the next join
-    answer = (
-        classes.select("_key", "text").join(by_text, "text", "left")
-        .groupBy("_key").agg(F.min(F.coalesce("comp", "text")).alias("class"), F.min("text").alias("text"), F.max("n_links").alias("n_links"))
-    )
+    judged = classes.select("_key", "_content", "head", "node").join(by_text, "node", "left")
+    # rows of one id and text have one class; stored, so that the join with repeated rows can be split
+    answer = tmp.store(
+        judged.groupBy("_key", "_content").agg(F.min(F.struct(F.coalesce("lead", "head").alias("lead"), "head", "n_links")).alias("a"))
+        .select("_key", "_content", "a.lead", "a.head", "a.n_links"), "answer")
     shown = lambda c: F.nullif(F.coalesce(c, F.col("doc_id").cast("long")), F.lit(-(1 << 63)))
-    return docs.select("doc_id", key_of().alias("_key")).join(answer, "_key", "left").select(
-        "doc_id", shown(F.col("class")).alias("class_id"), shown(F.col("text")).alias("text_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), (F.coalesce("class", "_key") == F.col("_key")).alias("is_first"))
+    lead = F.col("lead")
+    is_first = lead.isNull() | ((lead["_key"] == F.col("_key")) & (lead["_content"] == F.col("_content")))
+    return docs.select("doc_id", key_of().alias("_key"), content).join(answer, ["_key", "_content"], "left").select(
+        "doc_id", shown(F.col("lead._key")).alias("class_id"), shown(F.col("head._key")).alias("text_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), is_first.alias("is_first"),
+        F.col("_key").alias("key"), F.col("_content").alias("content"))

@@ -20,7 +20,8 @@ def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op2_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     from tradeweave.llm.jaccard_join import jaccard_join
 
-    return jaccard_join(table(spark, sf, "documents").select("doc_id", "text"), n=5, threshold=0.8)
+    found = jaccard_join(table(spark, sf, "documents").select("doc_id", "text"), n=5, threshold=0.8)
+    return found.drop("key", "content")
 
 
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
