@@ -28,10 +28,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each group of copies and near copies the document with the smallest doc_id, once."""
-    first = jaccard_join(docs.select("doc_id", "text")).where("is_first").select(key_of().alias("__key")).distinct()
-    kept = docs.withColumn("__key", key_of()).join(first, "__key", "left_semi")
-    return kept.dropDuplicates(["__key"]).select(*docs.columns)
+    """Keep of each group of copies and near copies the document with the smallest doc_id, once.
+
+    A document is its doc_id and text; one without doc_id is each row's own, and without words it has no copies.
+    """
+    named = docs.withColumns({"__key": key_of(), "__content": F.xxhash64("text")})
+    alone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
+    first = jaccard_join(docs.select("doc_id", "text")).where("is_first")
+    first = first.select(F.col("key").alias("__key"), F.col("content").alias("__content")).distinct()
+    kept = named.where(~alone).join(first, ["__key", "__content"], "left_semi").dropDuplicates(["__key", "__content"])
+    return kept.unionByName(named.where(alone)).select(*docs.columns)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

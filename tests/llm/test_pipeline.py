@@ -57,3 +57,14 @@ def test_no_documents(spark):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Only copies and near copies go; other texts stay, whatever their doc_id."""
+    text = lambda w: " ".join(f"{w}{i}" for i in range(100))
+    rows = [(None, text("a")), (None, text("b")), (None, text("a")), (None, ""), (None, ""), (5, text("c")), (5, text("d")),
+            (6, text("a")), (7, text("c") + " more"), (8, text("e")), (8, text("e")), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(C.near_duplicate_stage(spark, docs, SF).collect(), key=str)
+    want = [(None, text("a")), (None, text("b")), (None, ""), (None, ""), (5, text("c")), (5, text("d")), (8, text("e")), (9, None)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))

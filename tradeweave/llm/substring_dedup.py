@@ -89,8 +89,8 @@ def _anchors(window: int):
             b = _Blocks(Words(texts), window)
             doc = b.doc()
             keep = _distinct(doc, b.anchor)
-            key = batch.column("_key").to_numpy()
-            yield pa.record_batch([longs(key[doc[keep]]), longs(b.anchor[keep])], ["_key", "anchor"])
+            key, content = batch.column("_key").to_numpy(), batch.column("_content").to_numpy()
+            yield pa.record_batch([longs(key[doc[keep]]), longs(content[doc[keep]]), longs(b.anchor[keep])], ["_key", "_content", "anchor"])
 
     return work
 
@@ -100,7 +100,7 @@ def _known_blocks(window: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches, "text"):
             b = _Blocks(Words(texts), window)
-            doc, key = b.doc(), batch.column("_key").to_numpy()
+            doc, key, content = b.doc(), batch.column("_key").to_numpy(), batch.column("_content").to_numpy()
             known = batch.column("known")
             size = np.asarray(known.value_lengths())
             doc_of = np.repeat(np.arange(len(size)), size)
@@ -111,8 +111,8 @@ def _known_blocks(window: int):
             n = b.size[pick]
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(b.head[pick], n)
             yield pa.record_batch(
-                [longs(key[doc[pick]]), longs(b.anchor[pick]), longs(b.block[pick]), lists(b.code[inner], n)],
-                ["_key", "anchor", "block", "codes"])
+                [longs(key[doc[pick]]), longs(content[doc[pick]]), longs(b.anchor[pick]), longs(b.block[pick]), lists(b.code[inner], n)],
+                ["_key", "_content", "anchor", "block", "codes"])
 
     return work
 
@@ -175,14 +175,15 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -
         raise ValueError("window must be positive")
     spark = docs.sparkSession
     tmp = scratch(spark, "substrings")
-    rows = docs.select(key_of().alias("_key"), F.col("text"), F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
-    slim = docs.select(key_of().alias("_key"), F.col("text"))
-    anchors = tmp.store(in_arrow(slim, _anchors(window), "_key long, anchor long"), "anchors")
+    content = F.xxhash64("text").alias("_content")  # rows that share an id, or have none, keep lists of their own
+    rows = docs.select(key_of().alias("_key"), content, F.col("text"), F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
+    slim = docs.select(key_of().alias("_key"), content, F.col("text"))
+    anchors = tmp.store(in_arrow(slim, _anchors(window), "_key long, _content long, anchor long"), "anchors")
     shared = tmp.store(anchors.groupBy("anchor").count().where("count > 1").select("anchor"), "shared")
-    known = tmp.store(anchors.join(shared, "anchor").groupBy("_key").agg(F.collect_list("anchor").alias("known")), "known")
+    known = tmp.store(anchors.join(shared, "anchor").groupBy("_key", "_content").agg(F.collect_set("anchor").alias("known")), "known")
     settle(spark)
     blocks = tmp.store(
-        in_arrow(slim.join(known, "_key"), _known_blocks(window), "_key long, anchor long, block long, codes array<long>"),
+        in_arrow(slim.join(known, ["_key", "_content"]), _known_blocks(window), "_key long, _content long, anchor long, block long, codes array<long>"),
         "blocks")
     tmp.forget("anchors", "shared", "known")
     settle(spark)
@@ -191,15 +192,15 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -
     # stored, so that adaptive execution can split a frequent anchor in the join with it
     several = tmp.store(first.groupBy("anchor").count().where("count > 1").select("anchor"), "several")
     placed = blocks.join(first, ["anchor", "block"])
-    later = placed.where("_key > first").select("_key", F.col("block").alias("code"))
-    owners = placed.where("_key = first").join(several, "anchor", "left_semi").select("_key", "anchor", F.explode("codes").alias("code"))
+    later = placed.where("_key > first").select("_key", "_content", F.col("block").alias("code"))
+    owners = placed.where("_key = first").join(several, "anchor", "left_semi").select("_key", "_content", "anchor", F.explode("codes").alias("code"))
     owners = tmp.store(owners, "owners")
     window_first = owners.groupBy("anchor", "code").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    boundary = owners.join(window_first, ["anchor", "code"]).where("_key > first").select("_key", "code")
-    marks = tmp.store(later.unionByName(boundary).groupBy("_key").agg(F.collect_set("code").alias("codes")), "marks")
+    boundary = owners.join(window_first, ["anchor", "code"]).where("_key > first").select("_key", "_content", "code")
+    marks = tmp.store(later.unionByName(boundary).groupBy("_key", "_content").agg(F.collect_set("code").alias("codes")), "marks")
     tmp.forget("blocks", "first", "several", "owners")
     settle(spark)
     out = T.StructType([rows.schema["row"]]).add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
     if with_text:
         out = out.add("kept_text", "string")
-    return in_arrow(rows.join(marks, "_key", "left"), _cut(window, with_text), out)
+    return in_arrow(rows.join(marks, ["_key", "_content"], "left"), _cut(window, with_text), out)
