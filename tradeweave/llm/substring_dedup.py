@@ -1,11 +1,11 @@
-"""Substring deduplication by relative Lempel-Ziv parsing against an index of reference blocks.
+"""Substring deduplication by hash joins of blocks and of single windows against the corpus itself.
 
-The corpus itself is the reference. Every document is cut into blocks of consecutive windows that
+Every document is cut into blocks of consecutive windows that
 share the same anchor (the smallest hash among the six-word runs of a window), so equal passages are
-cut alike wherever they stand. Blocks are indexed by anchor in a shuffled table, and each document is
-factored greedily: consecutive blocks that occur in an earlier document form one factor. The windows
-at a factor's ends lie in blocks that differ in part; they are looked up one by one among all blocks
-with the same anchor. The result equals comparing every window with every earlier window.
+cut alike wherever they stand. Blocks that occur in an earlier document are found by a join. Windows in blocks that differ in part
+are looked up one by one among all blocks with the same anchor. This stands in for greedy relative
+Lempel-Ziv factoring: no factors are formed, as only the words covered matter, and a parse of every
+document against every reference block would be quadratic. The result equals comparing every window with every earlier window.
 
 What moves: one anchor per seven words, then only blocks whose anchor occurs in two documents. All
 tables are grouped by hashes of content, so copies and common passages are reduced in each task
