@@ -87,6 +87,26 @@ def op10_license_scans(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan(table(spark, sf, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_simhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.simhash_dedup import simhash_dedup
+
+    return simhash_dedup(table(spark, sf, "documents"), size=4, seed=42, within=4)
+
+
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    from tradeweave.llm.importance_resampling import resample
+
+    found = resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +125,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_topk": op8_exact_topk,
         "op9_url_filters": op9_url_filters,
         "op10_license_scans": op10_license_scans,
+        "op11_hard_negatives": op11_hard_negatives,
+        "op12_simhash_dedup": op12_simhash_dedup,
+        "op13_importance_resampling": op13_importance_resampling,
         "pipeline": pipeline,
     }
 
@@ -169,5 +192,83 @@ SELECT query_id, rank, vec_id, score FROM (
 WHERE rank <= 20"""
 
 
+OP11_SQL = """
+WITH given AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding,
+    row_number() OVER () AS row
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+),
+part AS (
+  SELECT row, unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS i, len(embedding) AS size FROM given
+),
+usable AS (SELECT row FROM part GROUP BY row HAVING count(x) = count(*) AND bool_and(isfinite(x))),
+whole AS (
+  SELECT g.row, g.vec_id, g.label, p.i, p.size, CAST(floor(256 * CAST(p.x AS DOUBLE)) AS BIGINT) AS v
+  FROM part p JOIN usable u ON u.row = p.row JOIN given g ON g.row = p.row
+),
+score AS (
+  SELECT a.row, a.vec_id AS anchor_id, a.label AS own, c.row AS other, c.vec_id, c.label, CAST(sum(a.v * c.v) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON c.i = a.i AND c.size = a.size
+  WHERE a.vec_id % 100 = 0 GROUP BY ALL
+),
+near AS (
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS nth
+  FROM score WHERE label = own AND vec_id <> anchor_id
+),
+far AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.row, p.nth ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM near p JOIN score n ON n.row = p.row AND n.label <> n.own
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+  WHERE p.nth <= 5
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM far WHERE rank <= 10"""
+
+# CRC-32 bit by bit and byte by byte: a table made from the rule, applied to the bytes of each different word.
+OP13_SQL = rf"""
+WITH RECURSIVE step(value, crc, n) AS (
+  SELECT range, CAST(range AS BIGINT), 0 FROM range(256)
+  UNION ALL
+  SELECT value, CASE WHEN crc & 1 = 1 THEN xor(crc >> 1, CAST(3988292384 AS BIGINT)) ELSE crc >> 1 END, n + 1 FROM step WHERE n < 8
+),
+crcs AS (SELECT list(crc ORDER BY value) AS steps FROM step WHERE n = 8),
+d AS (SELECT doc_id, row_number() OVER () AS row, {_PLAIN} AS w FROM documents),
+dw AS (SELECT row, unnest(w) AS word FROM d),
+bw AS (SELECT unnest({_PLAIN}) AS word FROM benchmark),
+word AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw) u),
+bucket AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      list_transform(range(1, len(h), 2), lambda i: CAST(16 * (instr('0123456789ABCDEF', h[i]) - 1) + instr('0123456789ABCDEF', h[i + 1]) - 1 AS BIGINT))),
+      lambda c, b: xor(c >> 8, steps[xor(c & 255, b) + 1])), CAST(4294967295 AS BIGINT)) % 10000 AS bucket
+  FROM word, crcs
+),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN bucket USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM bw JOIN bucket USING (word) GROUP BY bucket),
+gain AS (
+  SELECT b.bucket, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE)
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bw) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT DISTINCT bucket FROM bucket) b LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket
+),
+weighed AS (
+  SELECT row, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM dw JOIN bucket USING (word) JOIN gain USING (bucket) GROUP BY row
+),
+drawn AS (
+  SELECT d.doc_id, d.row, CAST(len(d.w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(range(1, 9),
+      lambda i: CAST(instr('0123456789abcdef', sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), ''))[i]) - 1 AS BIGINT))), lambda a, b: a * 16 + b) AS h
+  FROM d LEFT JOIN weighed w ON w.row = d.row
+),
+scored AS (SELECT *, CAST(weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM drawn),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_exact_topk": OP8_SQL}
+    return {
+        "op1_substring_dedup": OP1_SQL, "op4_decontamination": OP4_SQL, "op8_exact_topk": OP8_SQL,
+        "op11_hard_negatives": OP11_SQL, "op13_importance_resampling": OP13_SQL,
+    }
