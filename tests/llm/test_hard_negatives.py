@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tradeweave.llm import hard_negatives as H
 
 VECTORS = "vec_id long, embedding array<double>, label int, row long, block string, slice int, whole int, nth long"
-LABEL = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+
+
+def relabelled():
+    return F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
 
 
 def made():
@@ -46,16 +49,16 @@ def test_equals_brute_force(spark, anchors, piece, tile, monkeypatch):
     monkeypatch.setattr(H, "SLICE", piece)
     monkeypatch.setattr(H, "TILE", tile)
     rows = made()
-    got = H.hard_negatives(spark.createDataFrame(rows, VECTORS).repartition(5), F.col("vec_id") % 100 == 0, LABEL)
+    got = H.hard_negatives(spark.createDataFrame(rows, VECTORS).repartition(5), F.col("vec_id") % 100 == 0, relabelled())
     want = brute(rows)
     assert Counter(map(tuple, got.collect())) == want
     assert len(want) > 100 and max(want.values()) > 1 and any(k[0] == 1500 for k in want)
 
 
 def test_no_rows_and_no_anchors(spark):
-    assert H.hard_negatives(spark.createDataFrame([], VECTORS), F.col("vec_id") % 100 == 0, LABEL).count() == 0
+    assert H.hard_negatives(spark.createDataFrame([], VECTORS), F.col("vec_id") % 100 == 0, relabelled()).count() == 0
     some = spark.createDataFrame(made(), VECTORS)
-    assert H.hard_negatives(some, F.col("vec_id") == -5, LABEL).count() == 0
+    assert H.hard_negatives(some, F.col("vec_id") == -5, relabelled()).count() == 0
 
 
 def test_beyond_64_bits(spark):
