@@ -5,6 +5,7 @@ from fractions import Fraction
 import pytest
 
 from tradeweave.llm import jaccard_join as J
+from tradeweave.llm.substring_dedup import substring_dedup
 
 
 def brute(rows, n, threshold):
@@ -27,9 +28,10 @@ def brute(rows, n, threshold):
     return {i: (group[sets[s]], sets[s], links[sets[s]]) if s else (i, i, 0) for i, s in known.items()}
 
 
-@pytest.mark.parametrize("block", [128, 3])
-def test_equals_brute_force(docs, rows, block, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", block)  # small blocks: clusters are compared in several tasks
+@pytest.mark.parametrize("block,grams", [(512, 1 << 21), (3, 1 << 21), (512, 300)])
+def test_equals_brute_force(docs, rows, block, grams, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", block)  # small blocks: sets go to their buckets and meet in several tasks
+    monkeypatch.setattr(J, "GRAMS", grams)
     rows = [r for r in rows if r[0] is not None]
     got = J.jaccard_join(docs.where("doc_id IS NOT NULL"), 5, 0.8).collect()
     want = brute(rows, 5, 0.8)
@@ -51,7 +53,9 @@ def test_null_id_and_empty(docs, no_docs):
     assert J.jaccard_join(no_docs).count() == 0
 
 
-def test_large_group_of_near_copies(spark):
+@pytest.mark.parametrize("block", [512, 64])
+def test_large_group_of_near_copies(spark, block, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", block)
     base = [f"w{i}" for i in range(120)]
     texts = [" ".join([*base[:k % 100], f"x{k}", *base[k % 100:]]) for k in range(300)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -59,8 +63,21 @@ def test_large_group_of_near_copies(spark):
     assert {r.class_id for r in got} == {0} and {r.n_links for r in got} == {299}
 
 
-def test_chain_of_links(spark):
+def test_texts_made_to_collide(spark):
+    """A word and its complement whose sums of powers agree modulo 2**64 are different words."""
+    odd = [bin(i).count("1") & 1 for i in range(1024)]
+    a, b = "".join("ab"[x] for x in odd), "".join("ba"[x] for x in odd)
+    texts = [" ".join([f"w{i}" for i in range(19)] + [w]) for w in (a, b)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = J.jaccard_join(docs).collect()
+    assert sorted((r.doc_id, r.text_id) for r in got) == [(0, 0), (1, 1)]
+    assert [r.n_removed for r in substring_dedup(docs).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_chain_of_links(spark, block, monkeypatch):
     """A long chain is one component although its ends share nothing."""
+    monkeypatch.setattr(J, "BLOCK", block)
     words = [f"w{i}" for i in range(2000)]
     texts = [" ".join(words[10 * k:10 * k + 150]) for k in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -27,7 +27,6 @@ NO_ID = -(1 << 63)
 _is_blank = np.zeros(256, dtype=bool)
 _is_blank[list(BLANKS)] = True
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,27 +85,42 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: np.uint64, n: int) -> np.ndarray:
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        size = max(n, 1 << 16)
-        have = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, base, np.uint64)]))
-        if size <= 4 * STEP_BYTES:
-            _powers[int(base)] = have
-    return have[:n]
-
-
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit hashes of values[start:end] for many spans at once, from one running sum."""
-    n = len(values)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power(_MULT, n), out=total[1:])
-    part = (total[ends] - total[starts]) * _power(_INVERSE, n + 1)[starts]
-    return mix(part ^ ((ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), salt)
+    """64-bit hashes of values[start:end] for many spans at once.
+
+    Hashes of 1, 2, 4... values from each place are made by doubling, and a span takes the ones its length is the sum
+    of. Every step mixes all bits, so no texts collide by construction, as they do under sums of powers.
+    """
+    size = ends - starts
+    out = mix(size.astype(np.uint64), salt)
+    level, at, step = mix(values.astype(np.uint64), 31), starts.copy(), 1
+    while True:
+        some = np.flatnonzero(size & step)
+        out[some] = mix(out[some] * _MULT + level[at[some]], salt)
+        at[some] += step
+        if not (size >> step.bit_length()).any():
+            return mix(out, salt)
+        level = mix(level[:-step] * _MULT + level[step:], 37)
+        step *= 2
+
+
+#: A number for each byte value at each of the first places of a word; later places are mixed one by one.
+_PLACES = 64
+_placed = mix(np.arange(_PLACES * 256, dtype=np.uint64) + np.uint64(1), 41)
+
+
+def _word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte stretches, which do not overlap and ascend: sums of numbers for (place, byte), mixed."""
+    size = ends - starts
+    first = np.cumsum(size) - size
+    place = np.arange(size.sum()) - np.repeat(first, size)
+    inside = buf[place + np.repeat(starts, size)]
+    number = _placed[(np.minimum(place, _PLACES - 1) << 8) | inside]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        number[far] = mix((place[far].astype(np.uint64) << np.uint64(8)) | inside[far], 43)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(number, dtype=np.uint64)])
+    return mix(total[first + size] - total[first] + size.astype(np.uint64) * _MULT, 47)
 
 
 class Words:
@@ -126,7 +140,7 @@ class Words:
             inside[1:-1] = ~_is_blank[buf[lo:hi]]
             edges = np.flatnonzero(np.diff(inside))
             s, e = edges[0::2], edges[1::2]
-            hashes.append(span_hashes(buf[lo:hi], s, e))
+            hashes.append(_word_hashes(buf[lo:hi], s, e))
             starts.append(s + lo)
             ends.append(e + lo)
         join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)

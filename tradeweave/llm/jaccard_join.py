@@ -1,11 +1,14 @@
 """N-gram Jaccard self-join by MinHash banding, verified on full n-gram sets, with its groups.
 
-Documents with the same set of n-grams are one text class; only classes are compared. Signatures are cut
-into bands whose number and size follow from the recall wanted at the threshold. Band hashes are shuffled
-to find which classes meet; classes that meet directly or through others form a cluster of candidates, so
-a class's n-grams travel once to its cluster and not once for each band. Within a cluster all classes are
-compared by their full sets. A large cluster is cut into blocks that meet pairwise in separate tasks, and
-a task passes on counts of links and the edges of a spanning forest, never the pairs of a group.
+Documents with the same set of n-grams are one text class; only classes are compared. Signatures are cut into
+bands whose number and size follow from the recall wanted at the threshold, and band hashes are shuffled. A pair is
+a candidate if it shares a band, and candidates alone are compared, by their full sets.
+
+Where classes that meet directly or through others are few, their sets travel once and meet in one task. Where
+common passages chain many classes together, sets go to each of their band buckets instead, and a pair is
+counted in the bucket of its first shared band. A bucket that holds more classes or n-grams than a task should is
+cut into blocks that meet pairwise in separate tasks. Tasks pass on counts of links and the edges of a spanning
+forest, never the pairs of a group.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from pyspark.sql import functions as F
 
 from tradeweave.llm.common import Words, in_arrow, key_of, longs, mix, scratch, settle, span_hashes, steps
 
-#: Hash functions of a signature; classes in one block of a cluster; distinct n-grams of one dense step.
-HASHES, BLOCK, DENSE = 64, 128, 4096
+#: Hash functions of a signature; classes and n-grams in one block of a group; distinct n-grams of one dense step.
+HASHES, BLOCK, GRAMS, DENSE = 64, 512, 1 << 21, 4096
 
 
 def bands_for(threshold: float, recall: float, hashes: int = HASHES) -> tuple[int, int]:
@@ -76,7 +79,8 @@ def _signatures(n: int, bands: int, rows: int):
             key, content = batch.column("_key").to_numpy(), batch.column("_content").to_numpy()
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * bands), longs(out.ravel()))
             yield pa.record_batch(
-                [longs(key[some]), longs(content[some]), longs(whole[0][some]), longs(whole[1][some]), flat], ["_key", "_content", "h1", "h2", "bands"])
+                [longs(key[some]), longs(content[some]), longs(whole[0][some]), longs(whole[1][some]), longs(s.size[some]), flat],
+                ["_key", "_content", "h1", "h2", "n", "bands"])
 
     return work
 
@@ -87,9 +91,9 @@ def _grams(n: int):
             s = _Sets(texts, n)
             ends = s.first + s.size
             yield pa.record_batch(
-                [batch.column("node"), batch.column("cluster"), batch.column("parts"),
+                [*(batch.column(c) for c in ("node", "bands", "groups")),
                  pa.array([s.grams[a:b].tobytes() for a, b in zip(s.first, ends)], pa.binary())],
-                ["node", "cluster", "parts", "grams"])
+                ["node", "bands", "groups", "grams"])
 
     return work
 
@@ -116,22 +120,33 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _share(bands: np.ndarray, kind: int) -> np.ndarray:
+    """Pairs that share a band at all (kind below 0), or none before that band, which all of them share."""
+    n, last = len(bands), bands.shape[1] if kind < 0 else kind
+    found = np.zeros((n, n), bool)
+    for j in range(last):
+        found |= bands[:, j, None] == bands[None, :, j]
+    return found if kind < 0 else ~found
+
+
 def _compare(threshold: float):
     t = Fraction(str(threshold))
 
-    def links(rows: list[tuple], cross: bool) -> Iterator[tuple[int, int, int]]:
+    def links(rows: list[tuple], kind: int, cross: bool) -> Iterator[tuple[int, int, int]]:
         """(class, links, smallest class it is joined to here) of one block or two that meet."""
         if len(rows) < 2:
             return
-        key = np.array([r[0] for r in rows], np.int64)
-        sets = [np.frombuffer(r[2], np.uint64) for r in rows]
-        size = np.array([len(s) for s in sets], np.int64)
-        both = _overlaps(sets)
-        alike = both * (t.denominator + t.numerator) >= t.numerator * (size[:, None] + size[None, :])
+        alike = _share(np.array([r[2] for r in rows], np.int64), kind)
         np.fill_diagonal(alike, False)
         if cross:
             block = np.array([r[1] for r in rows])
             alike &= block[:, None] != block[None, :]
+        if not alike.any():
+            return
+        key = np.array([r[0] for r in rows], np.int64)
+        sets = [np.frombuffer(r[3], np.uint64) for r in rows]
+        size = np.array([len(s) for s in sets], np.int64)
+        alike &= _overlaps(sets) * (t.denominator + t.numerator) >= t.numerator * (size[:, None] + size[None, :])
         count = alike.sum(1)
         some = np.flatnonzero(count)
         root = key.copy()
@@ -147,18 +162,18 @@ def _compare(threshold: float):
         out: list[tuple[int, int, int]] = []
         group, rows = None, []
         for batch in batches:
-            names = ["cluster", "low", "high", "node", "block", "grams"]
-            for cluster, low, high, key, block, grams in zip(*(batch.column(c).to_pylist() for c in names)):
-                if (cluster, low, high) != group:
+            names = ["kind", "group", "low", "high", "node", "block", "bands", "grams"]
+            for kind, name, low, high, *row in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (kind, name, low, high) != group:
                     if group:
-                        out.extend(links(rows, group[1] != group[2]))
-                    group, rows = (cluster, low, high), []
-                rows.append((key, block, grams))
+                        out.extend(links(rows, group[0], group[2] != group[3]))
+                    group, rows = (kind, name, low, high), []
+                rows.append(row)
             if len(out) > 10_000:
                 yield _links(out)
                 out = []
         if group:
-            out.extend(links(rows, group[1] != group[2]))
+            out.extend(links(rows, group[0], group[2] != group[3]))
         yield _links(out)
 
     return work
@@ -192,7 +207,28 @@ def components(members: DataFrame, tmp, label: str) -> DataFrame:
         tmp.forget(f"{label}-{step - 1}")
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+def _placed(heads: DataFrame, tmp) -> DataFrame:
+    """Classes that share a band with another one, with the groups in which they are compared.
+
+    heads: node, n (n-grams), bands, head. A group is a whole component (kind -1) where it fits one block, otherwise
+    a bucket (kind: its band), cut into as many parts as its classes and n-grams ask for.
+    """
+    buckets = heads.select("node", "n", F.posexplode("bands").alias("kind", "hub"))
+    size = [F.count("*").alias("c"), F.sum("n").alias("g")]
+    meeting = tmp.store(buckets.groupBy("hub").agg(*size).where("c > 1"), "meeting")
+    members = tmp.store(buckets.join(meeting, "hub").select("node", "n", "kind", "hub", "c", "g"), "shared")
+    clusters = components(members.select("node", "hub"), tmp, "meet")
+    fits = (F.col("c") <= BLOCK) & (F.col("g") <= GRAMS)
+    sized = clusters.join(heads.select("node", "n"), "node").groupBy("comp").agg(*size).select("comp", fits.alias("fits"))
+    located = tmp.store(clusters.join(sized, "comp").select("node", "comp", "fits"), "located")
+    parts = F.greatest(F.ceil(F.col("c") / BLOCK), F.ceil(F.col("g") / GRAMS)).cast("int")
+    whole = located.where("fits").select("node", F.lit(-1).alias("kind"), F.col("comp").alias("group"), F.lit(1).alias("parts"))
+    split = members.join(located.where("NOT fits").select("node"), "node").select("node", "kind", F.col("hub").alias("group"), parts.alias("parts"))
+    groups = whole.unionByName(split).groupBy("node").agg(F.collect_list(F.struct("kind", "group", "parts")).alias("groups"))
+    return groups.join(heads, "node").select("node", "head._key", "head._content", "bands", "groups")
+
+
+def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999999) -> DataFrame:
     """For every row of docs (doc_id, text): its class, its text class and its links.
 
     doc_id; class_id: smallest doc_id of all rows joined to it by links or equality, directly or through
@@ -213,31 +249,36 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     bands, rows = bands_for(threshold, recall)
     content = F.xxhash64("text").alias("_content")
     slim = docs.select(key_of().alias("_key"), content, "text")
-    signed = tmp.store(in_arrow(slim, _signatures(n, bands, rows), "_key long, _content long, h1 long, h2 long, bands array<long>"), "signed")
+    signed = tmp.store(in_arrow(slim, _signatures(n, bands, rows), "_key long, _content long, h1 long, h2 long, n long, bands array<long>"), "signed")
     # stored, so that nodes keep their numbers, and adaptive execution can split a text with many copies in the join below
     first = F.min(F.struct("_key", "_content")).alias("head")
     firsts = tmp.store(signed.groupBy("h1", "h2").agg(first).withColumn("node", F.monotonically_increasing_id()), "firsts")
-    classes = tmp.store(signed.join(firsts, ["h1", "h2"]).select("_key", "_content", "head", "node", "bands"), "classes")
     own = (F.col("_key") == F.col("head._key")) & (F.col("_content") == F.col("head._content"))
-    heads = classes.where(own).dropDuplicates(["node"]).select("node", F.explode("bands").alias("hub"))
-    meeting = heads.groupBy("hub").count().where("count > 1").select("hub")
-    clusters = components(heads.join(meeting, "hub"), tmp, "meet")
-    sized = clusters.groupBy(F.col("comp").alias("cluster")).agg(F.count("*").alias("n"))
-    parts = F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")
-    located = clusters.withColumnRenamed("comp", "cluster").join(sized, "cluster").where("n > 1").join(firsts, "node")
-    placed = tmp.store(located.select("node", "head._key", "head._content", "cluster", parts), "placed")
+    joined = signed.join(firsts, ["h1", "h2"]).select("_key", "_content", "head", "node", "n", F.when(own, F.col("bands")).alias("bands"))
+    classes = tmp.store(joined, "classes")
+    tmp.forget("signed")
+    near = scratch(spark, "jaccard-meet")
+    heads = near.store(classes.where("bands IS NOT NULL").dropDuplicates(["node"]).select("node", "n", "bands", "head"), "heads")
+    placed = tmp.store(_placed(heads, near), "placed")
+    near.drop()
     settle(spark)
-    wanted = slim.join(placed, ["_key", "_content"]).dropDuplicates(["node"])  # a repeated row is no other text class
-    sets = in_arrow(wanted, _grams(n), "node long, cluster long, parts int, grams binary")
+    # a shuffle at every size, as classes that meet another grow with the documents; a repeated row is no other text class
+    wanted = slim.join(placed.hint("shuffle_hash"), ["_key", "_content"]).dropDuplicates(["node"])
+    groups = "array<struct<kind: int, group: long, parts: int>>"
+    sets = in_arrow(wanted, _grams(n), f"node long, bands array<long>, groups {groups}, grams binary")
+    met = sets.select("node", "bands", "grams", F.explode("groups").alias("g")).select("node", "bands", "grams", "g.*")
     block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    meet = sets.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "block", "grams")
-    ordered = meet.repartition("cluster", "low", "high").sortWithinPartitions("cluster", "low", "high")
-    found = tmp.store(in_arrow(ordered, _compare(threshold), "node long, links long, root long"), "links")
+    met = met.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    key = ["kind", "group", "low", "high"]
+    met = met.select(*key[:2], F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "block", "bands", "grams")
+    found = tmp.store(in_arrow(met.repartition(*key).sortWithinPartitions(*key), _compare(threshold), "node long, links long, root long"), "links")
+    tmp.forget("placed")
     settle(spark)
     counts = found.groupBy("node").agg(F.sum("links").alias("n_links"))
     edges = found.select("node", F.col("root").alias("hub")).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias("hub")))
-    groups = tmp.store(components(edges, tmp, "group").join(firsts.select("node", "head"), "node"), "groups")
+    joined = scratch(spark, "jaccard-group")
+    groups = tmp.store(components(edges, joined, "group").join(firsts.select("node", "head"), "node"), "groups")
+    joined.drop()
     names = groups.groupBy("comp").agg(F.min("head").alias("lead"))
     by_text = groups.join(names, "comp").join(counts, "node").select("node", "n_links", "lead")
     by_text = tmp.store(by_text, "by-text")  # as above: a text with many copies is split in the next join
@@ -246,6 +287,7 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     answer = tmp.store(
         judged.groupBy("_key", "_content").agg(F.min(F.struct(F.coalesce("lead", "head").alias("lead"), "head", "n_links")).alias("a"))
         .select("_key", "_content", "a.lead", "a.head", "a.n_links"), "answer")
+    tmp.forget("classes", "firsts", "links", "groups", "by-text")
     shown = lambda c: F.nullif(F.coalesce(c, F.col("doc_id").cast("long")), F.lit(-(1 << 63)))
     lead = F.col("lead")
     is_first = lead.isNull() | ((lead["_key"] == F.col("_key")) & (lead["_content"] == F.col("_content")))
