@@ -139,6 +139,7 @@ def train(trusted: DataFrame, tmp) -> tuple[dict[int, tuple[DataFrame, DataFrame
             below = found[size - 1][0].select(F.col("code").alias("suffix"), F.col("p").alias("q"))
             here = joined.withColumn("suffix", _suffix(size - 1)).join(below, "suffix").select("code", (own + F.col("g") * F.col("q")).alias("p"))
         found[size] = tmp.store(here, f"p{size}"), contexts.select("context", "g")
+        tmp.forget(f"counts{size}")
     return found, base
 
 
@@ -150,7 +151,10 @@ def _chunked(docs: DataFrame, columns: list[str], chunks: int) -> tuple[DataFram
 
 
 def logs_of(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], base: float, chunks: int, tmp) -> DataFrame:
-    """(chunk, code, log): log probability of every n-gram of the full order that a chunk of the documents holds."""
+    """(chunk, code, log): log probability of every n-gram of the full order that a chunk of the documents holds.
+
+    Tables, those of the model too, are deleted once what reads them is stored.
+    """
     texts = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "text").where("text <> ''")
     dealt = texts.repartition("chunk").sortWithinPartitions("chunk")
     asked = tmp.store(in_arrow(dealt, _asked, "chunk int, code long").distinct(), "asked")
@@ -166,7 +170,11 @@ def logs_of(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], base
         else:
             here = here.withColumn("suffix", _suffix(size - 1)).join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("q")), "suffix")
         lower = tmp.store(here.select("code", F.coalesce("p", F.coalesce("g", F.lit(1.0)) * F.col("q")).alias("p")), f"all{size}")
-    return tmp.store(asked.join(lower, "code").select("chunk", "code", F.log("p").alias("log")), "logs")
+        tmp.forget(f"want{size}", f"p{size}", f"g{size}", f"all{size - 1}")
+    settle(docs.sparkSession)
+    logs = tmp.store(asked.join(lower, "code").select("chunk", "code", F.log("p").alias("log")), "logs")
+    tmp.forget("asked", f"all{ORDER}")
+    return logs
 
 
 def _score(column: str):
@@ -234,7 +242,9 @@ def quality(docs: DataFrame, labels: DataFrame, low: float = 0.01, high: float =
     at = [F.expr(f"percentile_approx(perplexity, {q}, 100000)").alias(n) for q, n in ((low, "_low"), (high, "_high"))]
     bounds = tmp.store(known.groupBy(F.col("lang").alias("_lang")).agg(*at), "bounds")
     anywhere = known.agg(*at).first()
-    out = scores if columns == ["doc_id", "lang"] else _scored(docs, logs, chunks, list(dict.fromkeys([*columns, "lang"])))
+    again = columns != ["doc_id", "lang"]
+    out = _scored(docs, logs, chunks, list(dict.fromkeys([*columns, "lang"]))) if again else scores
+    tmp.forget("scores" if again else "logs")
     wider = F.exp(F.lit(spread) / F.sqrt(F.greatest("chars", F.lit(1))))
     lowest = F.coalesce("_low", F.lit(anywhere["_low"]).cast("double")) / wider if low > 0 else F.lit(0.0)
     highest = F.coalesce("_high", F.lit(anywhere["_high"]).cast("double")) * wider
