@@ -24,7 +24,7 @@ from tradeweave.llm.common import in_arrow, key_of, longs, rows_with_text, scrat
 #: Length of an n-gram and bits of each of its symbols; symbols that the base distribution spreads over at least.
 ORDER, BITS, LEAST = 4, 16, 64
 #: Bytes of text in a chunk, on average; n-grams that a task holds before it sums them up.
-CHUNK, HELD = 8 << 20, 2_000_000
+CHUNK, HELD = 16 << 20, 2_000_000
 
 #: Symbol of each character below U+0251: every one is its own.
 _CLASS = np.arange(0x251)
