@@ -216,7 +216,7 @@ def _summary_file(spark: SparkSession, sf: str) -> DataFrame:
 def _split_groups(spark: SparkSession, sf: str) -> DataFrame:
     """The whole linking with bounds so low that every large group, cell and list is split."""
     bench = Workbench.of(spark, sf)
-    limits = Limits(max_cells=3, block_rows_log2=4, small_list=10, pending=2)
+    limits = Limits(max_cells=3, block_rows_log2=4, small_list=10, pending=2, component_rows=12)
     return D.linked(bench.loaded(), None, bench.scratch("link"), limits).select(*_VERDICT)
 
 

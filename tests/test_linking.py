@@ -44,10 +44,14 @@ def run(spark, rows, limits=M.Limits(), partitions=4):
     return frame, got
 
 
+LOOP = M.Limits(component_rows=0)  # all turnarounds in the loop over all groups
+
+
+@pytest.mark.parametrize("limits", [M.Limits(), LOOP, M.Limits(component_rows=9, component_rounds=1)])
 @pytest.mark.parametrize("seed,spread", [(1, 6), (2, 40)])
-def test_random_days_match_the_row_walk(spark, seed, spread):
+def test_random_days_match_the_row_walk(spark, seed, spread, limits):
     rows = random_rows(seed, 70, spread)
-    frame, got = run(spark, rows)
+    frame, got = run(spark, rows, limits)
     want = link_all(frame.collect())
     assert got == want
     kinds = {c.split(" at ")[0] for c in want.values()}
@@ -59,7 +63,7 @@ def test_split_groups_and_cells_give_the_same_links(spark):
     """Tiny limits send every group through the block-wise walk and every cell through stretches."""
     rows = random_rows(3, 40, 25)
     frame, plain = run(spark, rows)
-    _, split = run(spark, rows, M.Limits(max_cells=2, block_rows_log2=1, small_list=15), partitions=7)
+    _, split = run(spark, rows, M.Limits(max_cells=2, block_rows_log2=1, small_list=15, component_rows=0), partitions=7)
     assert split == plain == link_all(frame.collect())
 
 
@@ -79,18 +83,19 @@ def hot_rows():
     return rows
 
 
-def test_long_chain_of_turnarounds(spark):
+@pytest.mark.parametrize("limits", [M.Limits(pending=3, component_rows=0), M.Limits(), M.Limits(component_rounds=2, pending=3)])
+def test_long_chain_of_turnarounds(spark, limits):
     """Each turnaround links one more instruction by quantity; rows and histogram are rewritten on the way."""
     rows = [(1, 20200101, "S", "DVPT", "NORM", "X", "A0", 5.0, "Q0"), (2, 20200101, "B", "FDVP", "NORM", "X", "A0", 5.0, "C1")]
     for k in range(1, 14):  # C(k) links a seller of account k by reference, which then supplies a buyer there
         rows.append((10 * k, 20200101, "S", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k}"))
         rows.append((10 * k + 1, 20200101, "B", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k + 1}"))
-    frame, got = run(spark, rows, M.Limits(pending=3))
+    frame, got = run(spark, rows, limits)
     assert got == link_all(frame.collect())
     assert max(int(c.split()[-1]) for c in got.values() if "Turnaround" in c) >= 13
 
 
-@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=16, block_rows_log2=4, small_list=0, pending=1)])
+@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=16, block_rows_log2=4, small_list=0, pending=1, component_rows=0)])
 def test_hot_group_and_hot_cell(spark, limits):
     frame, got = run(spark, hot_rows(), limits)
     assert got == link_all(frame.collect())
@@ -137,10 +142,43 @@ def test_verdicts_only_rise_and_residual_comment(spark):
     assert len(after) == len(rows)
 
 
-def test_round_cap_is_an_error(spark):
+@pytest.mark.parametrize("limits", [M.Limits(), LOOP])
+def test_round_cap_is_an_error(spark, limits):
     frame = prepare(spark.createDataFrame(random_rows(1, 20, 6), COLUMNS))
-    with pytest.raises(RuntimeError):
-        link(frame, Scratch(spark, "test"), max_rounds=1)
+    with pytest.raises(RuntimeError, match="did not settle within 1 rounds"):
+        link(frame, Scratch(spark, "test"), limits, max_rounds=1)
+
+
+def test_number_of_jobs_does_not_grow_with_the_chain(spark):
+    """A chain four times as long takes no more tables than rounds of the component search."""
+    def tables(length):
+        rows = []
+        for day in range(1, 4):
+            rows += [(1, day, "S", "DVPT", "NORM", "X", "A0", 5.0, "Q0"), (2, day, "B", "FDVP", "NORM", "X", "A0", 5.0, "C1")]
+            for k in range(1, length):
+                rows.append((10 * k, day, "S", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k}"))
+                rows.append((10 * k + 1, day, "B", "FDVP", "NORM", "X", f"A{k}", 5.0, f"C{k + 1}"))
+        frame = Scratch(spark, "given").store(prepare(spark.createDataFrame(rows, COLUMNS)), "prepared")
+        scratch, made = Scratch(spark, "test"), []
+        keep = Scratch.store
+        try:
+            Scratch.store = lambda self, df, name: (made.append(name), keep(self, df, name))[1]
+            assert link(frame, scratch).count() == 3 * (2 * length - 1)
+        finally:
+            Scratch.store = keep
+        return len(made)
+
+    assert tables(40) <= tables(10) + 4  # two for each further round of the search
+
+
+def test_odd_rows_in_a_component(spark):
+    """Missing sides, groups and references ride along as the row walk has them."""
+    rows = random_rows(11, 25, 9)
+    rnd = random.Random(6)
+    rows = [(*r[:2], rnd.choice([r[2], r[2], r[2], "X", None]), *r[3:7], rnd.choice([r[7], r[7], None]), rnd.choice([r[8], None, "R1"])) for r in rows]
+    _, small = run(spark, rows)
+    _, loop = run(spark, rows, LOOP)
+    assert small == loop and any("Turnaround" in c for c in small.values())
 
 
 def test_empty_classes(spark):
@@ -163,7 +201,7 @@ def test_missing_quantity_is_never_linked_by_quantity(spark):
     assert run(spark, rows)[1] == {(20200101, 3): S.TOTAL_LINK, (20200101, 2): S.REFERENCE_LINK}
 
 
-@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=1, block_rows_log2=1, small_list=0)])
+@pytest.mark.parametrize("limits", [M.Limits(), M.Limits(max_cells=1, block_rows_log2=1, small_list=0, component_rows=0)])
 def test_quantities_at_the_edges_of_exactness(spark, limits):
     def case(account, have, want):
         return [(account, "S", "DVPT", q) for q in have] + [(account, "B", "FDVP", q) for q in want]

@@ -30,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--today", type=int, default=day_number(dt.date.today()))
     p.add_argument("--keep", type=int, default=S.RETENTION_DAYS, help="days kept (cleanup)")
     p.add_argument("--manual", action="store_true")
+    p.add_argument("--duplicates", action="store_true", help="let duplicate rates, prices and names multiply rows instead of stopping (detail)")
+    p.add_argument("--rounds", type=int, default=S.MAX_ROUNDS, help="turnarounds after which linking stops with an error (detail)")
     return p
 
 
@@ -42,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.job == "load":
         print(load_feeds(house, a.instructions, a.rates, a.prices, a.today, a.rejects))
     elif a.job == "detail":
-        daily_detailed_report(house, a.day, a.out, a.manual)
+        daily_detailed_report(house, a.day, a.out, a.manual, strict=not a.duplicates, max_rounds=a.rounds)
     elif a.job == "daily":
         for day in a.day:
             print(summaries.daily_summary_report(house, day, a.out, a.manual))

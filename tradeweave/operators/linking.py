@@ -15,6 +15,9 @@ many rows, open rows are rewritten; once they link few, open rows and histogram
 recent links are subtracted on the fly, so a long tail of turnarounds costs scans but no shuffle of
 the rows that will never be linked. All dates advance together; a date that links nothing has no
 touched group and drops out by itself.
+
+Before that loop, groups joined by references are cut into components; those of bounded size run to their
+fixpoint inside one task (see components.py), so that the loop is left with the large ones, if any.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 
 from tradeweave import schemas as S
 from tradeweave.operators import matching as M
+from tradeweave.operators.components import settle_components, split_components
 from tradeweave.operators.prepare import has_account, not_market_transfer
 from tradeweave.session import Scratch, path_exists
 
@@ -264,6 +268,34 @@ def _turn(text: str, n: int) -> str:
     return f"{text} at Turnaround {n} "
 
 
+def _labels(n: int) -> tuple[str, str, str]:
+    return _turn(S.TOTAL_LINK, n), _turn(S.INDIVIDUAL_LINK, n), _turn(S.REFERENCE_LINK, n)
+
+
+def _unsettled(max_rounds: int) -> RuntimeError:
+    return RuntimeError(f"linking did not settle within {max_rounds} rounds")
+
+
+def settle_small_components(state: LinkState, limits: M.Limits, max_rounds: int) -> bool:
+    """Link what bounded components link, and leave the others in the state; True if there are any."""
+    inner = Scratch(state.scratch.spark, "components")
+    rows, cells, rest, rest_cells = split_components(
+        state.open(), state.histogram(), inner, limits.component_rows, limits.component_rounds)
+    scratch = state.scratch
+    found = scratch.store(settle_components(rows, cells, _labels, max_rounds), "local")
+    last = found.agg(F.count("*").alias("n"), F.max("turn").alias("turn")).first()
+    if last.n and last.turn > max_rounds:
+        raise _unsettled(max_rounds)
+    state.rows = scratch.store(rest.drop("comp"), "open-large")
+    state.cells = scratch.store(rest_cells.drop("comp"), "cells-large")
+    if last.n:
+        state.links.append(scratch.at("local"))
+        state.sizes.append(last.n)
+    state.rows_at = state.cells_at = len(state.links)
+    inner.drop()
+    return not state.rows.isEmpty()
+
+
 def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
          upto: str = "turnaround", max_rounds: int = S.MAX_ROUNDS) -> DataFrame:
     """Links (SettlementDate, row_id, comments) for every instruction the rules can link.
@@ -294,23 +326,26 @@ def link(prepared: DataFrame, scratch: Scratch, limits: M.Limits = M.Limits(),
 
     state.cells = later_cells(cells)
     state.compact("cells1")
+    if limits.component_rows and not settle_small_components(state, limits, max_rounds):
+        return _finish(state)
     turn, before = 1, 0
     while True:
         if turn > max_rounds:
-            raise RuntimeError(f"linking did not settle within {max_rounds} rounds")
+            raise _unsettled(max_rounds)
         turn += 1
+        total, single, by_reference = _labels(turn)
         few = state.few(before)
         near = touched_groups(state.linked(before)) if few else lambda df: df
         takes = decide(state.histogram(near), wide, True, limits, scratch, f"t{turn}")
         before = len(state.links)
         tagged = tag_by_quantity(
-            near(state.open()), takes, shape, limits, _turn(S.TOTAL_LINK, turn), _turn(S.INDIVIDUAL_LINK, turn)
+            near(state.open()), takes, shape, limits, total, single
         )
         if not state.store(tagged, f"q{turn}", rewrite=not few):
             break
         keep = state.few(min(before, state.rows_at))
         tag = only_by_reference if keep else tag_by_reference
-        tagged = tag(state.open(), state.linked(before), _turn(S.REFERENCE_LINK, turn))
+        tagged = tag(state.open(), state.linked(before), by_reference)
         state.store(tagged, f"r{turn}", rewrite=not keep)
         if state.waiting(state.rows_at):
             state.rewrite_rows(f"open{turn}")

@@ -39,6 +39,8 @@ class Limits:
     max_cells: int = 2048        # distinct quantities walked in one array
     block_rows_log2: int = 22    # rows of one equal-quantity cell ordered in one task
     small_list: int = 100_000    # measured row count up to which a key list is broadcast
+    component_rows: int = 50_000  # open rows and cells of groups joined by references that one task settles by itself; 0: none
+    component_rounds: int = 8    # rounds in which such components are looked for
     pending: int = 16            # link tables taken out of rows and histogram on the fly before these are rewritten
 
 
@@ -47,7 +49,7 @@ def _amount(count: str) -> str:
     return f"CAST(q * CAST({count} AS DECIMAL(17,0)) AS {_AMOUNT})"
 
 
-def _with_exact_quantity(cells: DataFrame) -> DataFrame:
+def with_exact_quantity(cells: DataFrame) -> DataFrame:
     return cells.withColumn("q", F.expr(_UNITS))
 
 
@@ -76,7 +78,7 @@ def small_groups(cells: DataFrame, need_supply: bool) -> DataFrame:
     # Cells of a group are few and already summed, so they are brought together directly; partial
     # lists per task would only be serialised twice.
     groups = (
-        _with_exact_quantity(cells)
+        with_exact_quantity(cells)
         .repartition(*GROUP)
         .groupBy(*GROUP)
         .agg(
@@ -127,7 +129,7 @@ def large_groups(cells: DataFrame, need_supply: bool, limits: Limits, scratch: S
     walked. The remainder at least halves between openings that end a run, so the number of rounds
     grows with the logarithm of the supply, not with the group.
     """
-    cells = _with_exact_quantity(cells)
+    cells = with_exact_quantity(cells)
     totals = (
         cells.groupBy(*GROUP)
         .agg(

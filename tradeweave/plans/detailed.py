@@ -10,6 +10,7 @@ from tradeweave.operators.enrich import enrich
 from tradeweave.operators.fees import with_fees, with_values
 from tradeweave.operators.linking import apply_links, link
 from tradeweave.operators.prepare import final_labels, is_bond, prepare, settled
+from tradeweave.schemas import MAX_ROUNDS
 from tradeweave.session import Scratch
 from tradeweave.sinks.exports import write_detail
 from tradeweave.sinks.tables import append_new_dates, replace_dates, stored_dates
@@ -37,9 +38,9 @@ def check_inputs(house: Warehouse, days: int | list[int] | None) -> None:
 
 
 def linked(house: Warehouse, days: int | list[int] | None, scratch: Scratch,
-           limits: M.Limits = M.Limits(), upto: str = "turnaround") -> DataFrame:
+           limits: M.Limits = M.Limits(), upto: str = "turnaround", max_rounds: int = MAX_ROUNDS) -> DataFrame:
     prepared = prepare(settled(house.facts(days)))
-    links = link(prepared, scratch, limits, upto)
+    links = link(prepared, scratch, limits, upto, max_rounds)
     return apply_links(prepared, links, looked_at=upto in ("reference", "turnaround"))
 
 
@@ -49,25 +50,29 @@ def charged(df: DataFrame, house: Warehouse, days: int | list[int] | None, stric
 
 
 def detail(house: Warehouse, days: int | list[int] | None = None, scratch: Scratch | None = None,
-           limits: M.Limits = M.Limits(), strict: bool = True) -> DataFrame:
+           limits: M.Limits = M.Limits(), strict: bool = True, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """All settlements of the dates with verdict, names, values and fees."""
     scratch = scratch or Scratch(house.spark, "link")
-    return charged(linked(house, days, scratch, limits), house, days, strict)
+    return charged(linked(house, days, scratch, limits, max_rounds=max_rounds), house, days, strict)
 
 
 def daily_detailed_report(house: Warehouse, days: int | list[int], folder: str | None = None,
-                          manual: bool = False, limits: M.Limits = M.Limits()) -> None:
+                          manual: bool = False, limits: M.Limits = M.Limits(), strict: bool = True,
+                          max_rounds: int = MAX_ROUNDS) -> None:
     """Store the result of the dates and export each as CSV.
 
-    An automatic run keeps dates that are already stored; a manual run replaces them.
+    An automatic run keeps dates that are already stored; a manual run replaces them. Duplicate dimension keys
+    stop the run, or with strict=False multiply rows. Linking that takes more than max_rounds turnarounds stops it too.
     """
     check_inputs(house, days)
     days = [days] if isinstance(days, int) else list(days)
     scratch = Scratch(house.spark, "link")
     try:
-        result = detail(house, days, scratch, limits)
+        result = detail(house, days, scratch, limits, strict, max_rounds)
         path = house.path(DETAIL)
         held = set() if manual else stored_dates(house.spark, path)
+        if folder and held & set(days):  # read once for each such day and file, so computed once
+            result = scratch.store(result, "result")
         if manual:
             replace_dates(result, path)
         elif set(days) - held:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +76,13 @@ class Scratch:
         remove_path(self.spark, self.path)
 
 
+def import_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package where it lies at the same path as here; elsewhere it is shipped as usual."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
