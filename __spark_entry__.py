@@ -188,13 +188,12 @@ def _load_job(table: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _detail_job(spark: SparkSession, sf: str) -> DataFrame:
-    """The detailed report of two days, run by itself, then again by hand over a falsified result."""
+    """The detailed report of two of the stored days, run by itself, then again by hand over a falsified result."""
     bench = Workbench.of(spark, sf)
     source = bench.loaded()
     house = Warehouse(spark, bench.scratch("detail-job").path)
     for name in (FACTS, RATES, PRICES):
-        rows = source.read(name)
-        append_new_dates(rows.where(F.col("SettlementDate").isin(tradeweave_oracle.JOB_DAYS)), house.path(name), clustered=False)
+        append_new_dates(source.read(name), house.path(name), clustered=False)
     source.agents().write.parquet(house.path("Depository_Agent"))
     source.accounts().write.parquet(house.path("Sub_Account"))
     D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS, bench.scratch("out").path)

@@ -211,6 +211,45 @@ def test_malformed_fields_stop_or_are_kept_aside(spark, tmp_path):
     assert left == {"b1": {"Sender": "A01"}, "b2": {"Quantity": "1e4x"}, "b3": {"SettlementDate": "2020-01-02"}, "b4": {"SettlementDate": "", "Quantity": "?"}}
 
 
+def test_records_with_another_number_of_fields(spark, tmp_path):
+    """32 and 33 fields pass, also with quoted commas and quotes; others are rejected and take no number."""
+    def of(n, ref, **fields):
+        return ",".join((instruction(TradeRef=ref, **fields) + ["x"] * 9)[:n])
+
+    quoted = {"SecurityDescription": '"a, b ""c"", d"', "ClientAccount": '", e"'}
+    lines = [of(32, "0"), of(25, "b25"), of(33, "1"), of(31, "b31"), of(34, "b34"), of(32, "2", **quoted), of(33, "3", **quoted),
+             of(35, "b35"), of(32, "b33", SecurityDescription="a, b, c")]
+    write(f"{tmp_path}/in.txt", lines)
+    with pytest.raises(ValueError, match="fields"):
+        files.read_instructions(spark, f"{tmp_path}/in.txt", Scratch(spark, "test"))
+    rows = files.read_instructions(spark, f"{tmp_path}/in.txt", Scratch(spark, "test"), f"{tmp_path}/bad")
+    assert [(r.row_id, r.TradeRef) for r in rows.orderBy("row_id").collect()] == [(1, "0"), (2, "1"), (3, "2"), (4, "3")]
+    assert rows.where("row_id = 3").first().SecurityDescription == 'a, b "c", d'
+    left = {r.TradeRef: r.malformed["fields"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
+    assert left == {"b25": "25", "b31": "31", "b34": "34", "b35": "35", "b33": "34"}
+
+
+def test_numbers_keep_file_order_without_a_range_sort(spark, tmp_path):
+    """Several files, each cut into many splits, two dates in turn."""
+    want = []
+    for f in range(3):
+        refs = [f"{f}-{i:04d}" for i in range(400)]
+        write(f"{tmp_path}/in/{f}.txt", [",".join(instruction(TradeRef=r, SettlementDate=str(20200101 + int(r[-1]) % 2))) for r in refs])
+        want += refs
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows = files.read_instructions(spark, f"{tmp_path}/in", Scratch(spark, "test"))
+        got = rows.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert "rangepartitioning" not in rows._jdf.queryExecution().toString()
+    for day in (20200101, 20200102):
+        mine = sorted((r.row_id, r.TradeRef) for r in got if r.SettlementDate == day)
+        assert [i for i, _ in mine] == list(range(1, 601))
+        assert [t for _, t in mine] == [t for t in want if 20200101 + int(t[-1]) % 2 == day]
+
+
 def test_price_lines_without_isin_do_not_stop_a_day(spark):
     facts = spark.createDataFrame([(1, 20200101, "I1", "SGD", 1.0, 5, "A"), (2, 20200101, "", "SGD", 1.0, 5, "A"), (3, 20200101, None, "SGD", 1.0, 5, "A")],
                                   "row_id long, SettlementDate int, ISIN string, SettlementCcy string, Quantity double, Sender int, CDPSafeKeepingAccount string")

@@ -1,4 +1,4 @@
-"""Row numbers in a stated order without sorting a whole date in one task."""
+"""Row numbers in a stated order, or in the order rows already stand in, without a whole date in one task."""
 
 from __future__ import annotations
 
@@ -41,3 +41,19 @@ def number_rows(df: DataFrame, day: str, order: list[Column | str], out: str, sc
     )
     number = F.col("_before") + F.col("_pos") - F.col("_first") + 1
     return joined.withColumn(out, number.cast("bigint")).select(out, *df.columns)
+
+
+def number_in_place(stored: DataFrame, day: str, split: list[str], within: str, out: str) -> DataFrame:
+    """Dense 1..n per ``day`` for stored rows that already stand in order: by ``split``, then by ``within``.
+
+    Rows of a date are counted per split, and each split starts after the running count of those before it; only
+    the rows that one split holds of a date are ordered together. Nothing is sampled or range-sorted. The table of
+    counts has one row per split and date, so whether it is broadcast is left to its measured size.
+    """
+    keys = [day, *split]
+    before = W.partitionBy(day).orderBy(*split).rowsBetween(W.unboundedPreceding, -1)
+    counts = stored.groupBy(*keys).agg(F.count("*").alias("_n"))
+    starts = counts.select(*[F.col(c).alias(f"_of_{c}") for c in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = stored.withColumn("_nth", F.row_number().over(W.partitionBy(*keys).orderBy(within)))
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in keys]
+    return local.join(starts, same).withColumn(out, (F.col("_before") + F.col("_nth")).cast("bigint")).select(out, *stored.columns)

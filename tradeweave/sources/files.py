@@ -8,27 +8,32 @@ from pyspark.sql import types as T
 
 from tradeweave import schemas as S
 from tradeweave.functions.scalar import load_stamp
-from tradeweave.operators.numbering import number_rows
+from tradeweave.operators.numbering import number_in_place
 from tradeweave.session import Scratch
 
 _EXTRA = "_extra"  # some deliveries carry a 33rd, unused field
+_RECORD = "_record"
 
 
 def read_instructions(spark: SparkSession, path: str, scratch: Scratch, rejects: str | None = None) -> DataFrame:
     """Header-less comma CSV of 32 or 33 fields, numbered per settlement date in file order.
 
     A blank field is a missing value, except for the settlement date. A record with a field that its type
-    cannot hold is not taken: the records so left out are written to the folder ``rejects`` (with the file
-    and the texts of the fields in question), or, without one, the first of them is named in an error.
+    cannot hold, or with another number of fields, is not taken: the records so left out are written to the folder
+    ``rejects`` (with the file and the texts of the fields in question; the number of fields as ``fields``),
+    or, without one, the first of them is named in an error. Commas inside quoted fields separate nothing; a quote in one is doubled.
     """
     names = [f.name for f in S.INSTRUCTION.fields]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA]])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _EXTRA, _RECORD]])
     raw = (
         spark.read.schema(schema)
-        .option("header", False).option("sep", ",").option("emptyValue", "").option("nullValue", "\0")
+        .option("header", False).option("sep", ",").option("emptyValue", "").option("nullValue", "\0").option("escape", '"')
+        .option("columnNameOfCorruptRecord", _RECORD).option("columnPruning", False)  # a pruned record has no field count
         .csv(path)
     )
-    fields, bad = [], []
+    count = _field_count(F.col(_RECORD))  # a record is kept as text where it has not all of the schema's fields
+    miscounted = F.col(_RECORD).isNotNull() & ~count.isin(len(names), len(names) + 1)
+    fields, bad = [], [F.when(miscounted, F.struct(F.lit("fields").alias("key"), count.cast("string").alias("value")))]
     for f in S.INSTRUCTION.fields:
         if isinstance(f.dataType, T.StringType):
             fields.append(F.coalesce(f.name, F.lit("")).alias(f.name))
@@ -41,14 +46,21 @@ def read_instructions(spark: SparkSession, path: str, scratch: Scratch, rejects:
     placed = raw.select(*fields, F.map_from_entries(F.array_compact(F.array(*bad))).alias("_bad"), *[
         c.alias(n) for n, c in _file_place().items()
     ]).withColumn("_rejected", F.size("_bad") > 0)
-    order = ["_rejected", "_file", "_block", "_seq"]  # rejected ones take no numbers of others
-    rows = number_rows(placed, "SettlementDate", order, "row_id", scratch, "instructions")
-    left_out = rows.where("_rejected").select(*names, F.col("_file").alias("file"), F.col("_bad").alias("malformed"))
+    order = ["_file", "_block", "_seq"]
+    stored = scratch.store(placed, "instructions")
+    left_out = stored.where("_rejected").select(*names, F.col("_file").alias("file"), F.col("_bad").alias("malformed"))
     if rejects:
         left_out.write.mode("overwrite").parquet(rejects)
     elif first := left_out.select("file", "malformed").head(1):
         raise ValueError(f"malformed fields in {first[0].file}: {first[0].malformed} (and perhaps more)")
-    return rows.where("NOT _rejected").drop("_bad", *order)
+    good = stored.where("NOT _rejected").drop("_bad", "_rejected")  # rejected ones take no numbers of others
+    return number_in_place(good, "SettlementDate", ["_file", "_block"], "_seq", "row_id").drop(*order)
+
+
+def _field_count(record: Column) -> Column:
+    """Fields of a record, whose quoted ones may hold commas."""
+    plain = F.regexp_replace(record, r'(^|,)"(?:[^"]|"")*"', "$1")
+    return F.size(F.split(plain, ",", -1))
 
 
 def _file_place() -> dict[str, Column]:
