@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tradeweave.llm import decontamination as D
 from tradeweave.llm.byte_bpe import ByteBpe, encode, load, piece_pattern
 from tradeweave.llm.common import plain_words
-from tradeweave.llm.license_scans import alternatives, labels_of, license_scan, postfix
+from tradeweave.llm.license_scans import labels_of, license_scan, postfix
 from tradeweave.llm.token_counts import token_counts
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -153,7 +153,6 @@ def test_expressions():
     assert postfix("MIT OR Apache-2.0 AND BSD-3-Clause") == ["mit", "apache-2.0", "bsd-3-clause", "and", "or"]
     assert postfix("GPL-2.0-only WITH Classpath-exception-2.0 AND MIT")[-1] == "and"
     assert labels_of(postfix("(MIT OR LGPL-2.1+) AND GPL-2.0 WITH x")) == {"mit", "lgpl", "gpl"}
-    assert alternatives(postfix("MIT AND (MIT OR ISC)")) == [frozenset({"mit"})]
     for bad in ("MIT AND", "AND MIT", "(MIT", "MIT)", "MIT ISC", "()", "MIT !"):
         assert postfix(bad) is None
 
@@ -173,3 +172,16 @@ def test_license_places(spark, docs, rows):
         assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(","))
     assert got[1005].labels == "isc,mit" and got[1005].score == 1.0 and got[1004].labels == "lgpl" and got[1006].labels == "mit"
     assert license_scan(docs.limit(0)).count() == 0
+
+
+def test_license_tags(spark):
+    """Tags in any case; expressions of any length; texts without line ends."""
+    long = " AND ".join(f"(L{i} OR M{i})" for i in range(13))
+    many = "x SPDX-License-Identifier: MIT; " * 3000
+    texts = ["SPDX-LicENSE-Identifier: MIT", f"// License-Expression: {long}", many, "é License-Expression:\tISC\nOR MIT", "SPDX-License-Identifier:\nMIT"]
+    got = [r for r in license_scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert (got[0].labels, got[0].score) == ("mit", 1.0)
+    assert got[1].postfix == [" ".join(postfix(long))] and len(got[1].labels.split(",")) == 26
+    assert got[2].labels == "mit" and len(got[2].expressions) == 3000
+    assert got[3].labels == "isc" and got[3].expressions == ["isc"]
+    assert (got[4].labels, got[4].score, got[4].postfix) == ("", 0.0, [])

@@ -1,7 +1,7 @@
-"""Licence scan: notice phrases and identifier tags by one Aho-Corasick automaton, expressions by shunting-yard.
+"""Licence scan: notice phrases and identifier tags by Aho-Corasick automata, expressions by shunting-yard.
 
 Phrases are sought in the sequence of words, so any separators may stand between them. Tags such as
-SPDX-License-Identifier are sought in the text as it stands; the expression behind a tag is read with
+SPDX-License-Identifier are sought in the lower-cased text; the expression behind a tag is read with
 WITH before AND before OR, and evaluated to the licences it asks for.
 """
 
@@ -41,13 +41,13 @@ TAG, PHRASE, OWN_PHRASE = 1.0, 0.8, 0.6
 _to_words = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-_token = re.compile(r"\s*(\(|\)|[a-z0-9][a-z0-9.+:-]*)")
+_token = re.compile(r"[^\S\n]*(\(|\)|[a-z0-9][a-z0-9.+:-]*)", re.ASCII)
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 
 
-def expression_end(text: str) -> int:
-    """Length of the stretch on this line that can be an expression."""
-    at = depth = 0
+def expression_end(text: str, at: int = 0) -> int:
+    """Where the stretch from there on this line ends that can be an expression; read token by token."""
+    depth = 0
     want_name = True
     while m := _token.match(text, at):
         word = m[1]
@@ -108,26 +108,6 @@ def family(name: str) -> str:
     return next((f for f in FAMILIES if name == f or name.startswith(f + "-") or name.startswith(f + "+")), name)
 
 
-def alternatives(post: list[str]) -> list[frozenset[str]] | None:
-    """The sets of licences of which one must be met, least first; None if too many to list."""
-    stack: list[set[frozenset[str]]] = []
-    for word in post:
-        if word not in _STRENGTH:
-            stack.append({frozenset([word])})
-            continue
-        b, a = stack.pop(), stack.pop()
-        if word == "or":
-            new = a | b
-        elif word == "and":
-            new = {x | y for x in a for y in b} if len(a) * len(b) <= 4096 else None
-        else:
-            new = {frozenset(f"{n} with {next(iter(y))}" for n in x) for x in a for y in b}
-        if new is None:
-            return None
-        stack.append({x for x in new if not any(y < x for y in new)} if len(new) <= 256 else new)
-    return sorted(stack[0], key=lambda s: (len(s), sorted(s)))
-
-
 def labels_of(post: list[str]) -> set[str]:
     """Families of all identifiers; what follows WITH is an exception, not a licence."""
     found: set[str] = set()
@@ -143,6 +123,14 @@ def labels_of(post: list[str]) -> set[str]:
     return found
 
 
+def _tags() -> ahocorasick.Automaton:
+    found = ahocorasick.Automaton()
+    for tag in TAGS:
+        found.add_word(tag, tag)
+    found.make_automaton()
+    return found
+
+
 def _automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for phrases, own in ((MORE_PHRASES, True), (BASE_PHRASES, False)):
@@ -152,11 +140,11 @@ def _automaton() -> ahocorasick.Automaton:
     return found
 
 
-def scan(text: bytes, phrases: ahocorasick.Automaton) -> dict:
+def scan(text: bytes, phrases: ahocorasick.Automaton, tags: ahocorasick.Automaton) -> dict:
     """Finds of one text."""
     words = b" ".join(text.translate(_to_words).split())
     line = f" {words.decode('latin-1')} "
-    starts, base, own, expressions, choices = [], set(), set(), [], []
+    starts, base, own, expressions, posts = [], set(), set(), [], []
     score = 0.0
     for end, (size, label, extra) in phrases.iter(line):
         if extra:
@@ -166,35 +154,29 @@ def scan(text: bytes, phrases: ahocorasick.Automaton) -> dict:
             starts.append(end - size - 1)  # place of the phrase in words
             base.add(label)
             score = max(score, PHRASE)
-    if b"icense-" in text or b"ICENSE-" in text:
-        low = text.translate(_lower).decode("utf-8", "replace")
-        for tag in TAGS:
-            at = low.find(tag)
-            while at >= 0:
-                stop = low.find("\n", at)
-                rest = low[at + len(tag): len(low) if stop < 0 else stop]
-                whole = rest[:expression_end(rest)].strip()
-                post = postfix(whole) if whole else None
-                if post:
-                    own |= labels_of(post)
-                    expressions.append(whole)
-                    choices.append(" | ".join(" + ".join(sorted(x)) for x in alternatives(post) or []))
-                    score = TAG
-                at = low.find(tag, at + len(tag))
+    low = text.translate(_lower).decode("latin-1")
+    for end, _ in tags.iter(low):
+        whole = low[end + 1:expression_end(low, end + 1)].strip()
+        post = postfix(whole) if whole else None
+        if post:
+            own |= labels_of(post)
+            expressions.append(whole)
+            posts.append(" ".join(post))
+            score = TAG
     first = last = None
     if starts:
         first, last = line.count(" ", 0, min(starts) + 1) - 1, line.count(" ", 0, max(starts) + 1) - 1
     return {
         "n_words": words.count(b" ") + 1 if words else 0, "n_base": len(starts), "first_word": first, "last_word": last,
         "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | own)), "score": score, "expressions": expressions,
-        "choices": choices,
+        "postfix": posts,
     }
 
 
 _COLUMNS = {
     "n_words": pa.int64(), "n_base": pa.int64(), "first_word": pa.int64(), "last_word": pa.int64(), "base_labels": pa.string(),
     "labels": pa.string(), "score": pa.float64(), "expressions": pa.list_(pa.string()),
-    "choices": pa.list_(pa.string()),
+    "postfix": pa.list_(pa.string()),
 }
 
 _SPARK = {
@@ -204,9 +186,9 @@ _SPARK = {
 
 
 def _work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    phrases = _automaton()
+    phrases, tags = _automaton(), _tags()
     for batch, texts in steps(batches, "text"):
-        found = [scan(t, phrases) for t in texts]
+        found = [scan(t, phrases, tags) for t in texts]
         yield pa.record_batch(
             [batch.column("doc_id"), *(pa.array([x[c] for x in found], kind) for c, kind in _COLUMNS.items())], ["doc_id", *_COLUMNS])
 
@@ -217,8 +199,8 @@ def license_scan(docs: DataFrame) -> DataFrame:
     doc_id, n_words, n_base (places of base phrases), first_word and last_word (smallest and largest start,
     words from 0; null without a place), base_labels, labels (with those of further phrases and of tag
     expressions; sorted, comma-joined), score (1 a tag with a sound expression, 0.8 a base phrase, 0.6 another
-    phrase, else 0), expressions (as they stand behind tags, lower-cased) and choices (for each of them the
-    sets of licences of which one must be met, `+` within a set, `|` between; empty if there are too many).
+    phrase, else 0), expressions (as they stand behind tags, lower-cased) and postfix (each of them in postfix
+    order, parted by blanks). Tags count in any case, anywhere in a text; an expression ends with its line.
 
     Words are runs of letters, digits and non-ASCII, A-Z lower-cased. A null text is empty. A tag without a
     sound expression adds nothing. Rows stay where they are read.
