@@ -32,15 +32,34 @@ def brute(rows, k, scale):
     return Counter(out)
 
 
-@pytest.mark.parametrize("queries,rows_at_once,k", [(4096, 512, 20), (7, 50, 3), (4096, 512, 1000)])
-def test_equals_brute_force(spark, queries, rows_at_once, k, monkeypatch):
-    monkeypatch.setattr(K, "QUERIES", queries)
-    monkeypatch.setattr(K, "ROWS", rows_at_once)
+@pytest.mark.parametrize("held,rows,tile,bins,k", [(1 << 23, 512, 1 << 22, 1024, 20), (400, 50, 200, 16, 3), (1 << 23, 512, 1 << 22, 1024, 1000)])
+def test_equals_brute_force(spark, held, rows, tile, bins, k, monkeypatch):
+    for name, value in (("HELD", held), ("ROWS", rows), ("TILE", tile), ("BINS", bins)):
+        monkeypatch.setattr(K, name, value)
     rows = vectors()
     got = K.exact_topk(spark.createDataFrame(rows, VECTORS).repartition(5), F.col("vec_id") % 20 == 0, k=k)
     assert Counter(map(tuple, got.collect())) == brute(rows, k, 64)
 
 
+def test_components_of_any_size(spark):
+    """Scores beyond 2**53 are exact, those beyond 64 bits are held at the nearest end."""
+    rows = [(i, [float(i), 1.0 + i % 3]) for i in range(40)] + [(40, [3e6, 0.0]), (41, [-4.3e8, 1.0]), (60, [3e6, 0.25]), (61, [1e200, -1e200]), (62, [1e308, 0.0])]
+    got = K.exact_topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=50)
+    end = 1 << 63
+    want = Counter((q, n, i, max(-end, min(end - 1, s))) for (q, n, i, s), c in brute([r for r in rows if r[0] < 61], 50, 64).items() for _ in range(c))
+    got = [tuple(r) for r in got.collect()]
+    assert {r[2] for r in got} == set(range(42)) | {60, 61}  # 62 is not finite once scaled
+    plain = Counter((q, i, s) for q, _, i, s in got if i != 61)
+    assert plain == Counter({(q, i, s): c for (q, _, i, s), c in want.items()})
+    assert {s for *_, i, s in got if i == 61} <= {-end, 0, end - 1}
+
+
+def test_scores_equal_whole_numbers():
+    rnd = np.random.default_rng(4)
+    a, b = (np.floor(rnd.uniform(-1, 1, (9, 5)) * 10.0 ** rnd.integers(0, 9, (9, 1))) for _ in range(2))
+    assert K.scores(a, b).tolist() == [[sum(int(x) * int(y) for x, y in zip(r, q)) for q in b] for r in a]
+
+
 def test_no_vectors_and_no_queries(spark):
     none = spark.createDataFrame([], VECTORS)
     assert K.exact_topk(none, F.col("vec_id") % 20 == 0).count() == 0
