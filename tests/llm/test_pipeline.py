@@ -68,3 +68,17 @@ def test_rows_that_share_an_id_or_have_none(spark):
     got = sorted(C.near_duplicate_stage(spark, docs, SF).collect(), key=str)
     want = [(None, text("a")), (None, text("b")), (None, ""), (None, ""), (5, text("c")), (5, text("d")), (8, text("e")), (9, None)]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_columns_of_any_name(spark, stages):
+    """Columns named like those the stages make come back as they were; the last stage replaces those it gives."""
+    names = ["_chunk", "__key", "__content", "key", "content", "row", "chunk", "code", "n_words", "kept_text", "bands", "perplexity", "is_first"]
+    late = ["n_tokens", "IDS_sha256", "ids", "decoded"]
+    docs = stages[0].selectExpr("*", *[f"concat('{n} ', doc_id) AS `{n}`" for n in names + late])
+    for nth, (_, stage) in enumerate(C.STAGES):
+        docs = Scratch(spark, "clash").store(stage(spark, docs, SF), "docs")
+        kept = names + (late if nth < 4 else ["ids", "decoded"])
+        assert docs.where(" OR ".join(f"NOT `{n}` <=> concat('{n} ', doc_id)" for n in kept)).isEmpty()
+        columns = stages[nth + 1].columns
+        assert sorted(map(str, docs.select(columns).collect())) == sorted(map(str, stages[nth + 1].collect()))
+    assert docs.columns[-3:] == ["n_tokens", "ids_sha256", "decoded_sha256"] and len(docs.columns) == len(stages[-1].columns) + len(names) + 2

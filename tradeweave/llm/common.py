@@ -52,10 +52,10 @@ def settle(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def rows_with_text(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+def rows_with_text(docs: DataFrame, columns: list[str], *beside: Column) -> tuple[DataFrame, str]:
     """The columns as one struct `row`, and where in it or beside it the text stands; a text travels once."""
     row = F.struct(*[docs[c] for c in columns]).alias("row")
-    return (docs.select(row), "row.text") if "text" in columns else (docs.select(row, docs["text"].alias("text")), "text")
+    return (docs.select(*beside, row), "row.text") if "text" in columns else (docs.select(*beside, row, docs["text"].alias("text")), "text")
 
 
 def steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

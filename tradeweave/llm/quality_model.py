@@ -145,9 +145,7 @@ def train(trusted: DataFrame, tmp) -> tuple[dict[int, tuple[DataFrame, DataFrame
 
 def _chunked(docs: DataFrame, columns: list[str], chunks: int) -> tuple[DataFrame, str]:
     """Rows as rows_with_text gives them, with their chunk: equal rows are in the same one wherever they are read."""
-    rows, column = rows_with_text(docs.withColumn("_chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")), ["_chunk", *columns])
-    kept = F.struct(*[F.col("row").getField(c).alias(c) for c in columns]).alias("row")
-    return rows.select(F.col("row._chunk").alias("chunk"), kept, *[c for c in rows.columns if c != "row"]), column
+    return rows_with_text(docs, columns, F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"))
 
 
 def logs_of(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], base: float, chunks: int, tmp) -> DataFrame:
