@@ -27,17 +27,21 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("keep").select("row.*")
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """Each row as a struct, so that its columns may have any name, beside its id and a hash of its text."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key_of().alias("key"), F.xxhash64("text").alias("content"))
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of each group of copies and near copies the document with the smallest doc_id, once.
 
     A document is its doc_id and text; one without doc_id is each row's own, and without words it has no copies.
     """
-    named = docs.withColumns({"__key": key_of(), "__content": F.xxhash64("text")})
-    alone = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
-    first = jaccard_join(docs.select("doc_id", "text")).where("is_first")
-    first = first.select(F.col("key").alias("__key"), F.col("content").alias("__content")).distinct()
-    kept = named.where(~alone).join(first, ["__key", "__content"], "left_semi").dropDuplicates(["__key", "__content"])
-    return kept.unionByName(named.where(alone)).select(*docs.columns)
+    named, document = _named(docs), ["key", "content"]
+    alone = F.col("row.doc_id").isNull() & ~F.coalesce(F.col("row.text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
+    first = jaccard_join(docs.select("doc_id", "text")).where("is_first").select(*document).distinct()
+    kept = named.where(~alone).join(first, document, "left_semi").dropDuplicates(document)
+    return kept.unionByName(named.where(alone)).select("row.*")
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,16 +54,17 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of whose words a twentieth or more stands in passages of the benchmark."""
     found = contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).where("contaminated")
-    bad = found.select(F.col("key").alias("__key"), F.col("content").alias("__content")).distinct()
-    named = docs.withColumns({"__key": key_of(), "__content": F.xxhash64("text")})
-    return named.join(bad, ["__key", "__content"], "left_anti").select(*docs.columns)
+    bad = found.select("key", "content").distinct()
+    return _named(docs).join(bad, ["key", "content"], "left_anti").select("row.*")
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of every text and what they decode to, as digests."""
+    """Byte-level BPE ids of every text and what they decode to, as digests; they replace columns of the same names."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     found = encode(docs, path, public_tokenizers.PATTERN, digests=True, keep=docs.columns)
-    return found.select("row.*", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+    made = {"n_tokens": "n_tokens", "ids_sha256": "ids", "decoded_sha256": "decoded"}
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in made]
+    return found.select(*kept, *[F.col(c).alias(name) for name, c in made.items()])
 
 
 STAGES = [
