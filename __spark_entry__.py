@@ -19,6 +19,7 @@ from tradeweave.operators.prepare import (  # noqa: E402
 )
 from tradeweave.plans import detailed as D  # noqa: E402
 from tradeweave.plans import summaries as R  # noqa: E402
+from tradeweave.plans.blocks import cube  # noqa: E402
 from tradeweave.plans.workbench import Workbench  # noqa: E402
 from tradeweave.plans.load import cleanup, load_feeds  # noqa: E402
 from tradeweave.operators.matching import Limits  # noqa: E402
@@ -291,7 +292,7 @@ def _kpi_by_client(spark: SparkSession, sf: str) -> DataFrame:
 def _top(dim: str, agent: bool = False) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         bench = Workbench.of(spark, sf)
-        parts = R.cube(bench.detail(), [], False, [dim])
+        parts = cube(bench.detail(), [], False, [dim])
         return R.ranked(parts, [], [dim]).select(
             "segment", F.col("name").alias(dim), *(["agent"] if agent else []), "ord", *shown()
         )

@@ -10,15 +10,16 @@ from tradeweave import schemas as S
 from tradeweave.__main__ import main
 from tradeweave.operators.enrich import enrich
 from tradeweave.operators.numbering import number_rows
+from tradeweave.plans.blocks import TOPS, cube
 from tradeweave.plans.detailed import daily_detailed_report
 from tradeweave.plans.load import cleanup, load_feeds
 from tradeweave.plans.summaries import (
-    daily_summary, monthly_summary, weekly_summary, weekly_summary_report,
+    daily_summary, monthly_summary, summary, weekly_summary, weekly_summary_report,
 )
 from tradeweave.session import Scratch, shared_root
 from tradeweave.sinks.tables import append_new_dates, prune, replace_dates, stored_dates
 from tradeweave.sources import files
-from tradeweave.sources.tables import ACCOUNTS, AGENTS, DETAIL, FACTS, PRICES, RATES, Warehouse
+from tradeweave.sources.tables import ACCOUNTS, AGENTS, BLOCKS, DETAIL, FACTS, PRICES, RATES, Warehouse
 
 
 def instruction(**kw):
@@ -181,6 +182,44 @@ def test_command_line_cleanup(spark, tmp_path, capsys):
     assert stored_dates(spark, h.path(FACTS)) == {20200401}
 
 
+def test_reports_add_up_stored_blocks(spark, feeds, tmp_path):
+    """Blocks serve the reports without the detail; a replaced, pruned or damaged date is seen by the next report."""
+    h = Warehouse(spark, f"{tmp_path}/blocks")
+    load_feeds(h, f"{feeds}/in/merged.txt", f"{feeds}/fx", f"{feeds}/px", today=20200103)
+    spark.createDataFrame([(561, "DA one")], "Sender int, DaName string").write.parquet(h.path(AGENTS))
+    spark.createDataFrame([("A1", "n", "SG")], "CDPSafeKeepingAccount string, CDPAccountName string, Location string").write.parquet(h.path(ACCOUNTS))
+    daily_detailed_report(h, 20200102)
+    assert stored_dates(spark, h.path(BLOCKS)) == {20200102}
+    kept = h.detail().drop("SettlementDate")
+    more = kept.withColumn("SettlementDate", F.explode(F.array(*[F.lit(20200103 + i) for i in range(3)])))
+    append_new_dates(more, h.path(DETAIL))
+
+    def shown(report, *days):
+        df = report(h, *days)
+        assert "output_daily" not in df._jdf.queryExecution().optimizedPlan().toString() and DETAIL not in str(df.inputFiles())
+        return sorted(map(str, df.collect()))
+
+    def plain(monthly, *days):
+        return sorted(map(str, summary(cube(h.detail(*days), ["SettlementDate"], True, TOPS), monthly=monthly).collect()))
+
+    assert shown(weekly_summary, 20200101, 20200104) == plain(False, 20200101, 20200104)
+    assert stored_dates(spark, h.path(BLOCKS)) == {20200102, 20200103, 20200104}  # only what was asked for
+    before = shown(monthly_summary, 20200101, 20200131)
+    assert before == plain(True, 20200101, 20200131)
+    changed = h.detail(20200103, 20200103).withColumn("NewFee", F.col("NewFee") + 1)
+    replace_dates(spark.createDataFrame(changed.collect(), changed.schema), h.path(DETAIL))
+    after = shown(monthly_summary, 20200101, 20200131)
+    assert after == plain(True, 20200101, 20200131) != before
+    lost = sorted(f for f in os.listdir(f"{h.path(BLOCKS)}/SettlementDate=20200104") if f.startswith("part-"))
+    for f in lost:
+        os.remove(f"{h.path(BLOCKS)}/SettlementDate=20200104/{f}")
+    assert shown(monthly_summary, 20200101, 20200131) == after
+    prune(spark, h.path(DETAIL), 20200105, 1)
+    assert shown(weekly_summary, 20200101, 20200131) == plain(False, 20200101, 20200131)
+    cleanup(h, 20200105, 1)
+    assert min(stored_dates(spark, h.path(BLOCKS))) == 20200104
+
+
 def test_half_written_date_is_loaded_again(spark, tmp_path):
     path = f"{tmp_path}/t"
     append_new_dates(days(spark, (20200101, 1)), path)

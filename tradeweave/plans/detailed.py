@@ -10,6 +10,7 @@ from tradeweave.operators.enrich import enrich
 from tradeweave.operators.fees import with_fees, with_values
 from tradeweave.operators.linking import apply_links, link
 from tradeweave.operators.prepare import final_labels, is_bond, prepare, settled
+from tradeweave.plans.blocks import report_blocks
 from tradeweave.schemas import MAX_ROUNDS
 from tradeweave.session import Scratch
 from tradeweave.sinks.exports import write_detail
@@ -77,6 +78,7 @@ def daily_detailed_report(house: Warehouse, days: int | list[int], folder: str |
             replace_dates(result, path)
         elif set(days) - held:
             append_new_dates(result, path, clustered=len(days) == 1)
+        report_blocks(house, min(days), max(days))  # for the reports over these dates
         for day in days if folder else []:
             # a stored day is read back; a day kept from an earlier run still exports its fresh result
             rows = result if day in held else house.read(DETAIL).select(*result.columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeweave.plans.blocks import report_blocks
 from tradeweave.plans.detailed import charged, linked
 from tradeweave.session import Scratch, path_exists
 from tradeweave.sinks.tables import append_new_dates
@@ -57,6 +58,7 @@ class Workbench:
             # a large price table joins by shuffle, which scatters the dates
             result = charged(self.linked(), self.loaded(), None)
             append_new_dates(result, self.house.path(DETAIL), clustered=False)
+            report_blocks(self.house)
         return self.house
 
     def detail(self) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 DAY = "SettlementDate"
 FACTS, RATES, PRICES = "Raw_PSMS", "Exchange_rate", "Closing_price"
-AGENTS, ACCOUNTS, DETAIL = "Depository_Agent", "Sub_Account", "output_daily"
+AGENTS, ACCOUNTS, DETAIL, BLOCKS = "Depository_Agent", "Sub_Account", "output_daily", "output_blocks"
 
 
 class Warehouse:
