@@ -1,11 +1,15 @@
-"""Substring deduplication by hash joins of blocks and of single windows against the corpus itself.
+"""Substring deduplication by relative Lempel-Ziv factors against the corpus itself.
 
-Every document is cut into blocks of consecutive windows that
-share the same anchor (the smallest hash among the six-word runs of a window), so equal passages are
-cut alike wherever they stand. Blocks that occur in an earlier document are found by a join. Windows in blocks that differ in part
-are looked up one by one among all blocks with the same anchor. This stands in for greedy relative
-Lempel-Ziv factoring: no factors are formed, as only the words covered matter, and a parse of every
-document against every reference block would be quadratic. The result equals comparing every window with every earlier window.
+The reference is every earlier stretch of the corpus, cut into blocks: consecutive windows that share the same anchor (the
+smallest hash among the six-word runs of a window), so that equal passages are cut alike wherever they stand. Blocks are indexed by
+their anchor and content, and the windows of blocks that differ in part by themselves; each entry names its first place (document
+and word). A document looks up its blocks and then its windows, and is parsed from left to right: a window
+that the index knows starts a factor, which grows word by word as long as its source goes on at the next place; words that no entry
+covers are literals. Factors are thus at least one window long, and become duplicate spans. Windows across the end of a factor,
+which the parse steps over, are checked by themselves and add to the spans. The result equals comparing every window with every earlier window.
+
+A factor is the longest one from the first place of its first window, not the longest from any place: that one would need
+every place of a common passage in one task. The words covered are the same.
 
 What moves: one anchor per seven words, then only blocks whose anchor occurs in two documents. All
 tables are grouped by hashes of content, so copies and common passages are reduced in each task
@@ -69,6 +73,10 @@ class _Blocks:
         self.block = span_hashes(words.hash, first, first + self.size - 1 + window, 2)
         self.code = span_hashes(words.hash, self.at, self.at + window, 3)
 
+    def place(self) -> np.ndarray:
+        """Word of its document that each block begins with."""
+        return self.at[self.head] - self.words.first[self.doc()] if len(self.head) else np.zeros(0, np.int64)
+
     def doc(self) -> np.ndarray:
         return self.words.doc[self.at[self.head]] if len(self.head) else np.zeros(0, np.int64)
 
@@ -111,32 +119,103 @@ def _known_blocks(window: int):
             n = b.size[pick]
             inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(b.head[pick], n)
             yield pa.record_batch(
-                [longs(key[doc[pick]]), longs(content[doc[pick]]), longs(b.anchor[pick]), longs(b.block[pick]), lists(b.code[inner], n)],
-                ["_key", "_content", "anchor", "block", "codes"])
+                [longs(key[doc[pick]]), longs(content[doc[pick]]), longs(b.anchor[pick]), longs(b.block[pick]), longs(b.place()[pick]), lists(b.code[inner], n)],
+                ["_key", "_content", "anchor", "block", "place", "codes"])
 
     return work
 
 
-def _cut(window: int, with_text: bool):
-    """Per document: mark the windows that start earlier, and put together what is left."""
+class _Index:
+    """What the index told of the documents of one step: the first place of blocks and windows."""
+
+    def __init__(self, told: pa.ListArray):
+        size = np.asarray(told.value_lengths().fill_null(0))
+        entry = told.flatten()
+        key = self._key(entry.field("code").to_numpy().view(np.uint64), np.repeat(np.arange(len(size)), size))
+        order = np.argsort(key)
+        self.key = key[order]
+        self.source, self.place = (entry.field(c).to_numpy()[order] for c in ("source", "place"))
+
+    @staticmethod
+    def _key(code: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        return mix(code, 5) ^ mix(doc.astype(np.uint64), 6)
+
+    def find(self, code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each code of a document, whether it has an entry, and which."""
+        if not len(self.key):
+            return np.zeros(len(code), bool), np.zeros(len(code), np.int64)
+        key = self._key(code, doc)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return self.key[at] == key, at
+
+
+def _seeds(b: _Blocks, index: _Index, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows that occur earlier (indices into b.at, ascending), with document and word of that occurrence."""
+    doc = b.words.doc[b.at]
+    # a window that comes again in its own document
+    _, first, which = np.unique(index._key(b.code, doc), return_index=True, return_inverse=True)
+    again = first[which] != np.arange(len(which))
+    source, place = key[doc], b.at[first[which]] - b.words.first[doc]
+    for found, at, shift in (
+        (*index.find(b.code, doc), 0),
+        (*(x[b.of] for x in index.find(b.block, b.doc())), np.arange(len(b.at)) - b.head[b.of]),
+    ):
+        source, place = np.where(found, index.source[at], source) if len(index.key) else source, (
+            np.where(found, index.place[at] + shift, place) if len(index.key) else place)
+        again = again | found
+    seed = np.flatnonzero(again)
+    return seed, source[seed], place[seed]
+
+
+def _parse(at: np.ndarray, doc: np.ndarray, source: np.ndarray, place: np.ndarray, window: int) -> tuple[list, list]:
+    """Greedy parse: (factors, checked).
+
+    Factors (index of the seed, first word, end) follow each other without overlap; checked are spans of windows that
+    begin inside a factor, reach over its end and occur earlier too.
+    """
+    if not len(at):
+        return [], []
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1]) | (source[1:] != source[:-1]) | (place[1:] != place[:-1] + 1)
+    head = np.flatnonzero(new)
+    last = at[np.append(head[1:], len(at)) - 1]
+    factors, checked, end = [], [], 0
+    for i, lo, hi in zip(head.tolist(), at[head].tolist(), last.tolist()):
+        if lo < end:  # windows do not reach into the next document, so neither do factors
+            checked.append((lo, min(hi, end - 1) + window))
+            i, lo = i + end - lo, end
+        if lo <= hi:
+            end = hi + window
+            factors.append((i, lo, end))
+    return factors, checked
+
+
+FACTORS = T.ArrayType(T.StructType([T.StructField(name, T.LongType()) for name in ("start", "length", "source", "place")]))
+
+
+def _factor_lists(words: Words, factors: list, source: np.ndarray, place: np.ndarray) -> pa.Array:
+    i, lo, end = np.array(factors, np.int64).reshape(-1, 3).T
+    doc = words.doc[lo]
+    fields = {"start": lo - words.first[doc], "length": end - lo, "source": source[i], "place": place[i]}
+    offsets = np.searchsorted(doc, np.arange(len(words.first) + 1)).astype(np.int32)
+    entries = pa.StructArray.from_arrays([longs(v) for v in fields.values()], list(fields))
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+
+def _cut(window: int, with_text: bool, with_factors: bool):
+    """Per document: parse it, and put together what no factor and no window across a factor's end covers."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches, "text"):
             words = Words(texts)
             b = _Blocks(words, window)
             covered = np.zeros(len(words) + 1, np.int32)
+            factors, source, place = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
             if len(b.at):
-                in_doc = words.doc[b.at].astype(np.uint64)
-                known = batch.column("codes")
-                size = np.asarray(known.value_lengths().fill_null(0))
-                have = mix(known.flatten().to_numpy().view(np.uint64), 5) ^ mix(
-                    np.repeat(np.arange(len(size)), size).astype(np.uint64), 6)
-                of_block = np.isin(mix(b.block, 5) ^ mix(b.doc().astype(np.uint64), 6), have)
-                own = mix(b.code, 5) ^ mix(in_doc, 6)
-                twice = np.ones(len(own), bool)
-                twice[np.unique(own, return_index=True)[1]] = False  # later in the same document
-                dup = b.at[of_block[b.of] | np.isin(own, have) | twice]
-                np.add.at(covered, dup, 1)
-                np.add.at(covered, dup + window, -1)
+                seed, source, place = _seeds(b, _Index(batch.column("known")), batch.column("_key").to_numpy())
+                factors, checked = _parse(b.at[seed], words.doc[b.at[seed]], source, place, window)
+                spans = np.array([f[1:] for f in factors] + checked, np.int64).reshape(-1, 2)
+                np.add.at(covered, spans[:, 0], 1)
+                np.add.at(covered, spans[:, 1], -1)
             keep = np.cumsum(covered)[:-1] == 0
             removed = (words.last - words.first) - np.add.reduceat(
                 np.append(keep, False).astype(np.int64), words.first) * (words.last > words.first)
@@ -154,17 +233,22 @@ def _cut(window: int, with_text: bool):
             cols = {"n_words": longs(words.last - words.first), "n_removed": longs(removed), "kept_sha256": pa.array(shas, pa.string())}
             if with_text:
                 cols["kept_text"] = pa.array(rest, pa.string())
+            if with_factors:
+                cols["factors"] = _factor_lists(words, factors, source, place)
             yield pa.record_batch([batch.column("row"), *cols.values()], ["row", *cols])
 
     return work
 
 
-def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True, with_factors: bool = False) -> DataFrame:
     """Remove every word of a window of `window` words that starts earlier in the corpus.
 
     docs needs doc_id and text; its columns but text come back under the struct `row`, with n_words,
     n_removed, kept_sha256 (kept words joined by one blank) and, if asked for, kept_text (kept stretches
-    as they stood, joined by one blank).
+    as they stood, joined by one blank) and factors: from left to right and without overlap, the stretches
+    (start, length) of the document that go on like the words from word `place` of document `source`
+    (-2^63: the one without id; of several rows with that id, one of them). Words between factors are literals,
+    which go as well where a window across the end of a factor occurs earlier.
 
     Earlier means a smaller doc_id, or an earlier start in the same document; judged on the input. Words
     are runs of anything but blank and \\t\\n\\v\\f\\r. A null text has no words, a null doc_id is the smallest.
@@ -183,24 +267,30 @@ def substring_dedup(docs: DataFrame, window: int = 20, with_text: bool = True) -
     known = tmp.store(anchors.join(shared, "anchor").groupBy("_key", "_content").agg(F.collect_set("anchor").alias("known")), "known")
     settle(spark)
     blocks = tmp.store(
-        in_arrow(slim.join(known, ["_key", "_content"]), _known_blocks(window), "_key long, _content long, anchor long, block long, codes array<long>"),
+        in_arrow(slim.join(known, ["_key", "_content"]), _known_blocks(window), "_key long, _content long, anchor long, block long, place long, codes array<long>"),
         "blocks")
     tmp.forget("anchors", "shared", "known")
     settle(spark)
 
-    first = tmp.store(blocks.groupBy("anchor", "block").agg(F.min("_key").alias("first")), "first")
+    earliest = [F.min("_key").alias("source"), F.min_by("place", "_key").alias("source_place")]
+    first = tmp.store(blocks.groupBy("anchor", "block").agg(*earliest), "first")
     # stored, so that adaptive execution can split a frequent anchor in the join with it
     several = tmp.store(first.groupBy("anchor").count().where("count > 1").select("anchor"), "several")
     placed = blocks.join(first, ["anchor", "block"])
-    later = placed.where("_key > first").select("_key", "_content", F.col("block").alias("code"))
-    owners = placed.where("_key = first").join(several, "anchor", "left_semi").select("_key", "_content", "anchor", F.explode("codes").alias("code"))
-    owners = tmp.store(owners, "owners")
-    window_first = owners.groupBy("anchor", "code").agg(F.min("_key").alias("first"), F.count("*").alias("n")).where("n > 1")
-    boundary = owners.join(window_first, ["anchor", "code"]).where("_key > first").select("_key", "_content", "code")
-    marks = tmp.store(later.unionByName(boundary).groupBy("_key", "_content").agg(F.collect_set("code").alias("codes")), "marks")
+    entry = ["_key", "_content", "code", "source", "source_place"]
+    later = placed.where("_key > source").withColumnRenamed("block", "code").select(*entry)
+    owners = placed.where("_key = source").join(several, "anchor", "left_semi").select(
+        "_key", "_content", "anchor", "place", F.posexplode("codes").alias("nth", "code"))
+    owners = tmp.store(owners.withColumn("place", F.col("place") + F.col("nth")).drop("nth"), "owners")
+    window_first = owners.groupBy("anchor", "code").agg(*earliest, F.count("*").alias("n")).where("n > 1")
+    boundary = owners.join(window_first, ["anchor", "code"]).where("_key > source").select(*entry)
+    told = F.collect_set(F.struct("code", "source", F.col("source_place").alias("place"))).alias("known")
+    marks = tmp.store(later.unionByName(boundary).groupBy("_key", "_content").agg(told), "marks")
     tmp.forget("blocks", "first", "several", "owners")
     settle(spark)
     out = T.StructType([rows.schema["row"]]).add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
     if with_text:
         out = out.add("kept_text", "string")
-    return in_arrow(rows.join(marks, ["_key", "_content"], "left"), _cut(window, with_text), out)
+    if with_factors:
+        out = out.add("factors", FACTORS)
+    return in_arrow(rows.join(marks, ["_key", "_content"], "left"), _cut(window, with_text, with_factors), out)
