@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from tradeweave import commits  # noqa: E402
 from tradeweave.operators.enrich import enrich  # noqa: E402
 from tradeweave.operators.fees import with_fees, with_values  # noqa: E402
 from tradeweave.operators.measures import measure, raw_block, shown, with_micros  # noqa: E402
@@ -70,7 +71,7 @@ def _load_once(spark: SparkSession, sf: str) -> DataFrame:
     path = bench.scratch("load-once").at("facts")
     append_new_dates(facts.where("SettlementDate < 19980101"), path)
     append_new_dates(facts, path)  # dates stored by the first load are left alone
-    return spark.read.parquet(path).groupBy("SettlementDate").agg(
+    return commits.read(spark, path).groupBy("SettlementDate").agg(
         F.count("*").alias("instructions"), F.sum("row_id").alias("id_sum")
     )
 
@@ -81,7 +82,7 @@ def _replace_date(spark: SparkSession, sf: str) -> DataFrame:
     path = bench.scratch("replace").at("rates")
     append_new_dates(rates, path, clustered=False)
     replace_dates(rates.where("SettlementDate >= 20000101").withColumn("Rate", F.col("Rate") * 2), path)
-    return spark.read.parquet(path).select("SettlementDate", "Currency", "Rate")
+    return commits.read(spark, path).select("SettlementDate", "Currency", "Rate")
 
 
 def _retention(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,7 +204,7 @@ def _detail_job(spark: SparkSession, sf: str) -> DataFrame:
     replace_dates(wrong, house.path(DETAIL))
     D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS, manual=True)
     D.daily_detailed_report(house, tradeweave_oracle.JOB_DAYS)  # stored days are left alone
-    return spark.read.parquet(house.path(DETAIL)).select(*tradeweave_oracle.DETAIL_COLUMNS)
+    return house.read(DETAIL).select(*tradeweave_oracle.DETAIL_COLUMNS)
 
 
 def _summary_file(spark: SparkSession, sf: str) -> DataFrame:

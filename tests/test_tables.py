@@ -1,11 +1,11 @@
 """Files in, tables out: feeds, load-once, replace, retention, exports, the daily job end to end."""
 
 import os
-import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
+from tradeweave import commits
 from tradeweave import schemas as S
 from tradeweave.__main__ import main
 from tradeweave.operators.enrich import enrich
@@ -17,6 +17,7 @@ from tradeweave.plans.summaries import (
     daily_summary, monthly_summary, summary, weekly_summary, weekly_summary_report,
 )
 from tradeweave.session import Scratch, shared_root
+from tradeweave.sinks import tables
 from tradeweave.sinks.tables import append_new_dates, prune, replace_dates, stored_dates
 from tradeweave.sources import files
 from tradeweave.sources.tables import ACCOUNTS, AGENTS, BLOCKS, DETAIL, FACTS, PRICES, RATES, Warehouse
@@ -157,7 +158,7 @@ def test_append_replace_and_prune(spark, tmp_path):
     path = f"{tmp_path}/t"
     append_new_dates(days(spark, (20200101, 1), (20200102, 2)), path)
     append_new_dates(days(spark, (20200102, 9), (20200103, 3)), path, clustered=False)
-    read = lambda: sorted((r.SettlementDate, r.v) for r in spark.read.parquet(path).collect())
+    read = lambda: sorted((r.SettlementDate, r.v) for r in commits.read(spark, path).collect())
     assert read() == [(20200101, 1), (20200102, 2), (20200103, 3)]
     replace_dates(days(spark, (20200102, 7), (20200102, 8)), path)
     assert read() == [(20200101, 1), (20200102, 7), (20200102, 8), (20200103, 3)]
@@ -210,9 +211,9 @@ def test_reports_add_up_stored_blocks(spark, feeds, tmp_path):
     replace_dates(spark.createDataFrame(changed.collect(), changed.schema), h.path(DETAIL))
     after = shown(monthly_summary, 20200101, 20200131)
     assert after == plain(True, 20200101, 20200131) != before
-    lost = sorted(f for f in os.listdir(f"{h.path(BLOCKS)}/SettlementDate=20200104") if f.startswith("part-"))
-    for f in lost:
-        os.remove(f"{h.path(BLOCKS)}/SettlementDate=20200104/{f}")
+    folder = f"{h.path(BLOCKS)}/_attempt={commits.current(spark, h.path(BLOCKS))[20200104]}/SettlementDate=20200104"
+    for f in os.listdir(folder):
+        os.remove(f"{folder}/{f}")
     assert shown(monthly_summary, 20200101, 20200131) == after
     prune(spark, h.path(DETAIL), 20200105, 1)
     assert shown(weekly_summary, 20200101, 20200131) == plain(False, 20200101, 20200131)
@@ -223,17 +224,81 @@ def test_reports_add_up_stored_blocks(spark, feeds, tmp_path):
 def test_half_written_date_is_loaded_again(spark, tmp_path):
     path = f"{tmp_path}/t"
     append_new_dates(days(spark, (20200101, 1)), path)
-    os.makedirs(f"{path}/_stage-lost/SettlementDate=20200102")  # an interrupted run's leftovers
-    shutil.copytree(f"{path}/SettlementDate=20200101", f"{path}/_stage-lost/SettlementDate=20200102", dirs_exist_ok=True)
+    days(spark, (20200102, 5)).write.partitionBy("SettlementDate").parquet(f"{path}/_attempt=alost")  # an interrupted run's leftovers
     append_new_dates(days(spark, (20200101, 9), (20200102, 2), (20200102, 3)), path)
-    assert sorted(map(tuple, spark.read.parquet(path).select("SettlementDate", "v").collect())) == [(20200101, 1), (20200102, 2), (20200102, 3)]
+    assert sorted(map(tuple, commits.read(spark, path).select("SettlementDate", "v").collect())) == [(20200101, 1), (20200102, 2), (20200102, 3)]
 
 
 def test_replaced_dates_get_few_files(spark, tmp_path):
     path = f"{tmp_path}/t"
     many = spark.range(4000).select((F.lit(20200101) + F.col("id") % 5).cast("int").alias("SettlementDate"), F.col("id").alias("v"))
     replace_dates(many.repartition(20), path)
-    assert max(len([f for f in os.listdir(f"{path}/{d}") if f.startswith("part-")]) for d in os.listdir(path) if d.startswith("Settle")) == 1
+    files = commits.read(spark, path).inputFiles()
+    assert len(files) == len({os.path.dirname(f) for f in files}) == 5
+
+
+def test_a_job_that_ends_between_any_two_steps_leaves_every_date_whole(spark, tmp_path, monkeypatch):
+    """Each step of a replacement of two dates and of a retention run is made to fail in turn."""
+    path, steps = f"{tmp_path}/t", ["write_text", "move_path", "written_dates", "remove_path"]
+    read = lambda: sorted((r.SettlementDate, r.v) for r in commits.read(spark, path).collect())
+    old = [(20200101, 1), (20200102, 2), (20200103, 3)]
+    append_new_dates(days(spark, *old), path)
+    new = [(20200101, 8), (20200102, 9), (20200103, 3)]
+
+    def stopped(*_):
+        raise RuntimeError("executor and driver lost")
+
+    for step in steps[:3]:
+        with monkeypatch.context() as m:
+            m.setattr(commits, step, stopped)
+            with pytest.raises(RuntimeError):
+                replace_dates(days(spark, *new[:2]), path)
+        assert read() == old
+    with monkeypatch.context() as m:
+        m.setattr(tables, "mark_done", stopped)
+        with pytest.raises(RuntimeError):
+            replace_dates(days(spark, *new[:2]), path)
+    assert read() == new
+    assert sum(d.startswith("_attempt=") for d in os.listdir(path)) == 5  # first, three without commit, the counted one
+    assert commits.sweep(spark, path) == []  # too young
+    assert len(commits.sweep(spark, path, hours=0)) == 5 and read() == new  # three attempts, two replaced dates
+    assert len(os.listdir(f"{path}/_commits")) == 2  # one commit and its checksum
+    with monkeypatch.context() as m:
+        m.setattr(tables, "remove_path", stopped)
+        with pytest.raises(RuntimeError):
+            prune(spark, path, 20200104, 2)
+    assert read() == new[1:]
+    commits.sweep(spark, path, hours=0)
+    assert read() == new[1:] and stored_dates(spark, path) == {20200102, 20200103}
+
+
+def test_a_commit_by_another_job_in_between_is_kept(spark, tmp_path, monkeypatch):
+    path, move = f"{tmp_path}/t", commits.move_path
+    append_new_dates(days(spark, (20200101, 1)), path)
+
+    def second(sp, source, target):
+        monkeypatch.setattr(commits, "move_path", move)
+        append_new_dates(days(spark, (20200102, 2)), path)
+        raise OSError("exists")
+
+    monkeypatch.setattr(commits, "move_path", second)
+    append_new_dates(days(spark, (20200103, 3)), path)
+    assert sorted(r.v for r in commits.read(spark, path).collect()) == [1, 2, 3]
+
+
+def test_rows_without_a_date_are_not_stored_in_part(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with pytest.raises(ValueError, match="without a"):
+        append_new_dates(days(spark, (20200101, 1), (None, 2)), path)
+    assert not commits.is_committed(spark, path)
+
+
+def test_table_emptied_by_retention_keeps_its_columns(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    append_new_dates(days(spark, (20200101, 1)), path)
+    assert prune(spark, path, 20210101) == [20200101]
+    df = commits.read(spark, path)
+    assert df.columns == ["v", "SettlementDate"] and df.count() == 0
 
 
 def test_malformed_fields_stop_or_are_kept_aside(spark, tmp_path):

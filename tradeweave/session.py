@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import time
 import uuid
 from pathlib import Path
 
@@ -110,6 +111,28 @@ def mark_done(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since a file or folder was last changed."""
+    p, fs = _fs(spark, path)
+    return (time.time() * 1000 - fs.getFileStatus(p).getModificationTime()) / 3_600_000
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     p, fs = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []

@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradeweave import commits
 from tradeweave import schemas as S
+from tradeweave.commits import DAY
 from tradeweave.functions.scalar import days_before
-from tradeweave.session import child_names, mark_done, move_path, path_exists, remove_path
-
-DAY = "SettlementDate"
+from tradeweave.session import child_names, mark_done, path_exists, remove_path
 
 
 def stored_dates(spark: SparkSession, path: str) -> set[int]:
-    """Dates already in a table, from partition names alone (no scan)."""
-    prefix = f"{DAY}="
-    return {int(n[len(prefix):]) for n in child_names(spark, path)
-            if n.startswith(prefix) and n[len(prefix):].isdigit()}
+    """Dates already in a table, from its last commit alone (no scan)."""
+    if any(n.startswith(f"{DAY}=") for n in child_names(spark, path)):
+        raise ValueError(f"{path} holds dates without commits; load them anew from their files")
+    return set(commits.current(spark, path))
+
+
+def _write(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    attempt, folder = commits.new_attempt(path)
+    df.write.partitionBy(DAY).parquet(folder)
+    commits.commit(spark, path, attempt, commits.written_dates(spark, folder), schema=df.schema)
 
 
 def append_new_dates(df: DataFrame, path: str, clustered: bool = True) -> None:
     """Append only rows of dates the table does not hold yet; creates the table if absent.
 
-    Everything is written beside the table first and then moved in date by date, so a date is either
-    wholly there or not at all; what an interrupted run left behind is not read and loaded again.
+    All dates are added by one commit, so they are there wholly or not at all; what an interrupted run left
+    behind is not read and loaded again.
 
     ``clustered`` says that tasks already hold few dates each; otherwise rows are rebalanced by date
     first (adaptive execution splits large dates), which keeps the number of files low.
@@ -37,31 +42,34 @@ def append_new_dates(df: DataFrame, path: str, clustered: bool = True) -> None:
         df = df.join(F.broadcast(known), DAY, "left_anti")
     if not clustered:
         df = df.hint("rebalance", DAY)
-    stage = f"{path}/_stage-{uuid.uuid4().hex[:12]}"  # readers skip names that start so
-    df.write.partitionBy(DAY).parquet(stage)
-    for name in child_names(spark, stage):
-        if name.startswith(f"{DAY}="):
-            move_path(spark, f"{stage}/{name}", f"{path}/{name}")
+    _write(df, path)
     mark_done(spark, path)
-    remove_path(spark, stage)
 
 
 def replace_dates(df: DataFrame, path: str) -> None:
-    """Overwrite exactly the dates present in ``df``; other dates stay untouched."""
-    (
-        df.hint("rebalance", DAY).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    """Replace exactly the dates present in ``df``, all by one commit; other dates stay untouched.
+
+    ``df`` may read the table itself. What was replaced stays until ``commits.sweep``, for queries that still read it.
+    """
+    stored_dates(df.sparkSession, path)
+    _write(df.hint("rebalance", DAY), path)
+    mark_done(df.sparkSession, path)
 
 
 def prune(spark: SparkSession, path: str, today: int, days: int = S.RETENTION_DAYS) -> list[int]:
-    """Drop partitions older than the cut-off, which is kept itself; returns the dropped dates."""
+    """Drop dates older than the cut-off, which is kept itself, and sweep left-overs; returns the dropped dates.
+
+    Their commit comes first, so a run that ends before their files are deleted leaves them to the next sweep.
+    """
     if not path_exists(spark, path):
         return []
     cutoff = days_before(today, days)
-    old = sorted(d for d in stored_dates(spark, path) if d < cutoff)
+    stored_dates(spark, path)
+    held = commits.current(spark, path)
+    old = sorted(d for d in held if d < cutoff)
+    if old:
+        commits.commit(spark, path, drop=old)
     for d in old:
-        remove_path(spark, f"{path}/{DAY}={d}")
+        remove_path(spark, f"{path}/_attempt={held[d]}/{DAY}={d}")
+    commits.sweep(spark, path)
     return old

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DAY = "SettlementDate"
+from tradeweave import commits
+from tradeweave.commits import DAY
+
 FACTS, RATES, PRICES = "Raw_PSMS", "Exchange_rate", "Closing_price"
 AGENTS, ACCOUNTS, DETAIL, BLOCKS = "Depository_Agent", "Sub_Account", "output_daily", "output_blocks"
 
@@ -20,7 +22,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        path = self.path(table)
+        return commits.read(self.spark, path) if commits.is_committed(self.spark, path) else self.spark.read.parquet(path)
 
     def on(self, table: str, days: int | list[int] | None) -> DataFrame:
         df = self.read(table)
