@@ -98,3 +98,8 @@ def test_repeated_head_is_no_link(spark):
     got = J.jaccard_join(docs).collect()
     assert sum(r.is_first for r in got) == 3 and {r.n_links for r in got if r.doc_id == 7} == {1}
     assert [r.class_id for r in got if r.doc_id == 8 and r.is_first] == [8]
+
+
+def test_bands_are_long_enough_that_unlike_texts_seldom_meet():
+    bands, rows = J.bands_for(0.8, 0.999999)
+    assert rows >= 4 and 1 - (1 - 0.1 ** rows) ** bands < 0.003 and 1 - (1 - 0.8 ** rows) ** bands >= 0.999999

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tradeweave.llm.common import Words, in_arrow, key_of, longs, mix, scratch, settle, span_hashes, steps
 
 #: Hash functions of a signature; classes and n-grams in one block of a group; distinct n-grams of one dense step.
-HASHES, BLOCK, GRAMS, DENSE = 64, 512, 1 << 21, 4096
+HASHES, BLOCK, GRAMS, DENSE = 108, 512, 1 << 21, 4096
 
 
 def bands_for(threshold: float, recall: float, hashes: int = HASHES) -> tuple[int, int]:
