@@ -1,7 +1,8 @@
 """What is shuffled and written stays narrow, and rounds shrink with what is still to be done."""
 
-from pyspark.sql import functions as F
+import re
 
+from tradeweave.llm.decontamination import count_words, words
 from tradeweave.operators.components import component_labels
 from tradeweave.operators.linking import touched_groups
 from tradeweave.plans.summaries import cube, ranked  # noqa: F401 (as tests/test_skew.py takes them)
@@ -79,3 +80,13 @@ def test_touched_groups_where_links_are_many(spark):
     for few in (True, False):
         assert [r["n"] for r in touched_groups(links, scratch, "t", few)(cells).collect()] == [1]
     assert "t" in child_names(spark, scratch.path)
+
+
+def test_words_are_cut_at_gaps(spark):
+    texts = ["", None, " ", "a", " A-b ", "Ärger ÜBER ١٢ x9!", "--", "\x7fq\x00R", "漢字 mixed漢A"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select("text", words().alias("w"), count_words().alias("n"))
+    assert "regexp_extract" not in plan(rows)  # ten times the time
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    for r in rows.collect():
+        want = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r["text"] or "").translate(lower))
+        assert (r["w"], r["n"]) == (want, len(want))
