@@ -3,12 +3,18 @@
 import re
 
 from tradeweave.llm.decontamination import count_words, words
-from tradeweave.operators.components import component_labels
-from tradeweave.operators.linking import touched_groups
+from pyspark.sql import functions as F
+
+from tradeweave.operators.components import component_labels, split_components
+from tradeweave.operators.enrich import with_accounts
+from tradeweave.operators.linking import supplied_cells, touched_groups
+from tradeweave.plans.detailed import charged
+from tradeweave.plans.blocks import report_blocks
 from tradeweave.plans.summaries import cube, ranked  # noqa: F401 (as tests/test_skew.py takes them)
 from tradeweave.plans.workbench import LINKS, Workbench
 from tradeweave.session import Scratch, child_names
 from tradeweave.sources.star_schema import Star
+from tradeweave.sources.tables import BLOCKS
 from conftest import SF
 
 
@@ -90,3 +96,78 @@ def test_words_are_cut_at_gaps(spark):
     for r in rows.collect():
         want = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r["text"] or "").translate(lower))
         assert (r["w"], r["n"]) == (want, len(want))
+
+
+def test_line_items_are_numbered_by_what_an_instruction_is_made_of(spark):
+    scratch = Scratch(spark, "narrow")
+    Star(spark, SF).facts(scratch)
+    stored = set(spark.read.parquet(scratch.at("numbered")).columns)
+    assert not {"l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"} & stored
+
+
+def test_detail_makes_no_blocks_and_a_report_those_of_its_dates(spark):
+    bench = Workbench(spark, SF)
+    days = sorted(r[0] for r in bench.detail().select("SettlementDate").distinct().collect())
+    assert not bench._done(BLOCKS)
+    report_blocks(bench.house, days[1], days[3])
+    assert sorted(r[0] for r in bench.house.read(BLOCKS).select("SettlementDate").distinct().collect()) == days[1:4]
+
+
+def test_only_rare_accounts_move_their_rows(spark, monkeypatch):
+    import tradeweave.operators.enrich as module
+
+    keys = ["A"] * 50 + ["", None] * 20 + ["B", "C", "D"]
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "row_id long, CDPSafeKeepingAccount string")
+    names = spark.createDataFrame([(k, f"n{k}", f"l{k}") for k in ("A", "B", "C", "X")] + [(None, "?", "?")],
+                                  "CDPSafeKeepingAccount string, CDPAccountName string, Location string")
+    monkeypatch.setattr(module, "FREQUENT", 2)
+    moved, plain = [], module.attach
+    monkeypatch.setattr(module, "attach", lambda df, *a, **k: moved.append(df) or plain(df, *a, **k))
+    got = {r.row_id: (r.CDPAccountName, r.Location) for r in with_accounts(rows, names, broadcast_rows=0).collect()}
+    assert got == {i: (f"n{k}", f"l{k}") if k in ("A", "B", "C") else (None, None) for i, k in enumerate(keys)}
+    assert sorted(r.CDPSafeKeepingAccount for r in moved[1].collect()) == ["B", "C", "D"]
+
+
+def test_made_columns_are_not_moved(spark):
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    import tradeweave.operators.enrich as module
+    bench, limit = Workbench.of(spark, SF), module.attach.__defaults__
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        module.attach.__defaults__ = (True, 0, *limit[2:])
+        rows = charged(bench.loaded(), None, bench.links())
+        tree = rows._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        module.attach.__defaults__ = limit
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    joins = [i for i, line in enumerate(tree.splitlines()) if "SortMergeJoin [SettlementDate" in line and "ISIN" in line]
+    below = "\n".join(tree.splitlines()[joins[0]:])
+    assert "Code_CDP" not in below and "SubsequentBuySell" not in below and "CDPAccountName" in below
+    facts = [c for c in bench.loaded().facts().columns if c not in rows.columns[:5]]
+    assert rows.columns[:5] == ["CDPSafeKeepingAccount", "Sender", "SettlementDate", "ISIN", "Currency"] and rows.columns[5:-16] == facts
+
+
+def test_classes_without_other_references_leave_the_rounds(spark):
+    pairs = [(i, 10_000 + i) for i in range(16)] + [(i + 1, 10_000 + i) for i in range(15)]
+    for i in range(500):
+        pairs += [(100_000 + 2 * i, 200_000 + i), (100_001 + 2 * i, 200_000 + i)]
+    scratch = Scratch(spark, "rounds")
+    labels, _ = component_labels(spark.createDataFrame(pairs, "_g long, _h long"), scratch, 8)
+    assert labels.count() == 1016
+    assert spark.read.parquet(scratch.at("joined1")).count() == 1016 and spark.read.parquet(scratch.at("joined2")).count() <= 16
+
+
+def test_components_need_what_is_supplied_alone(spark):
+    links = spark.createDataFrame([(1, 1, "a", "B", 2.0), (1, 2, "a", "B", 2.0), (1, 3, None, "B", 2.0), (1, 4, "b", "S", None)],
+                                  "SettlementDate int, row_id long, Code_CDP string, side string, Quantity double")
+    cells = supplied_cells(links)
+    assert [tuple(r) for r in cells.collect()] == [(1, "a", "S", 2.0, 2, 0)]
+    rows = spark.createDataFrame([(1, 9, "a", "S", 2.0, "r"), (1, 10, "c", "S", 2.0, "r"), (1, 11, None, "7", 2.0, "r"), (1, 12, None, "8", 2.0, "q")],
+                                 "SettlementDate int, row_id long, Code_CDP string, side string, Quantity double, PSMSMatchedReference string")
+    for most, few in ((10, 10), (2, 10), (2, 0)):
+        parts = split_components(rows, cells, Scratch(spark, "split"), most, 8, few)
+        small, small_cells, large, large_cells = [p.count() for p in parts]
+        assert (small, small_cells, large, large_cells) == ((3, 1, 0, 0) if most == 10 else (0, 0, 3, 1))
+        assert parts[0].unionByName(parts[2]).agg(F.countDistinct("comp")).first()[0] == 1
