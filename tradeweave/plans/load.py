@@ -9,7 +9,7 @@ from tradeweave.operators.prepare import keep_latest, latest_business_date, sett
 from tradeweave.session import Scratch
 from tradeweave.sinks.tables import append_new_dates, prune
 from tradeweave.sources import files
-from tradeweave.sources.tables import BLOCKS, DETAIL, FACTS, PRICES, RATES, Warehouse
+from tradeweave.sources.tables import BLOCKS, DETAIL, FACTS, PRICES, RATES, TOP_BLOCKS, Warehouse
 
 
 def load_feeds(house: Warehouse, instructions: str, rates: str, prices: str, today: int,
@@ -38,5 +38,6 @@ def load_feeds(house: Warehouse, instructions: str, rates: str, prices: str, tod
 
 def cleanup(house: Warehouse, today: int, days: int = S.RETENTION_DAYS) -> dict[str, list[int]]:
     """Drop old days of facts and daily results, with their report blocks; rates and prices are kept."""
-    prune(house.spark, house.path(BLOCKS), today, days)
+    for blocks in (BLOCKS, TOP_BLOCKS):
+        prune(house.spark, house.path(blocks), today, days)
     return {t: prune(house.spark, house.path(t), today, days) for t in (FACTS, DETAIL)}
