@@ -5,16 +5,19 @@ import re
 from tradeweave.llm.decontamination import count_words, words
 from pyspark.sql import functions as F
 
-from tradeweave.operators.components import component_labels, split_components
+from tradeweave.operators.components import component_labels, settle, settle_components, split_components
 from tradeweave.operators.enrich import with_accounts
 from tradeweave.operators.linking import supplied_cells, touched_groups
+from tradeweave.operators.numbering import number_in_place
 from tradeweave.plans.detailed import charged
 from tradeweave.plans.blocks import report_blocks
 from tradeweave.plans.summaries import cube, ranked  # noqa: F401 (as tests/test_skew.py takes them)
 from tradeweave.plans.workbench import LINKS, Workbench
 from tradeweave.session import Scratch, child_names
 from tradeweave.sources.star_schema import Star
-from tradeweave.sources.tables import BLOCKS
+from tradeweave.schemas import INSTRUCTION_COLUMNS
+from tradeweave.sources.files import read_instructions
+from tradeweave.sources.tables import BLOCKS, TOP_BLOCKS
 from conftest import SF
 
 
@@ -171,3 +174,96 @@ def test_components_need_what_is_supplied_alone(spark):
         small, small_cells, large, large_cells = [p.count() for p in parts]
         assert (small, small_cells, large, large_cells) == ((3, 1, 0, 0) if most == 10 else (0, 0, 3, 1))
         assert parts[0].unionByName(parts[2]).agg(F.countDistinct("comp")).first()[0] == 1
+
+
+def test_records_are_numbered_where_they_lie(spark, tmp_path):
+    blank = dict.fromkeys(INSTRUCTION_COLUMNS, "")
+    lines = [",".join({**blank, "SettlementDate": str(20200101 + i % 3) if i % 5 else "x", "TradeRef": str(i)}.values()) for i in range(60)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for n, part in enumerate((lines[:25], lines[25:26], lines[26:])):
+        (folder / f"part-{n}.csv").write_text("\n".join(part) + "\n")
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        rows = read_instructions(spark, str(folder), Scratch(spark, "feed"), f"{tmp_path}/bad")
+        text = plan(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "hashpartitioning" not in text and "Window" not in text
+    good = [i for i in range(60) if i % 5]
+    want = {i: [j for j in good if j % 3 == i % 3].index(i) + 1 for i in good}
+    assert {int(r.TradeRef): r.row_id for r in rows.collect()} == want
+    assert {tuple(r.malformed.items()) for r in spark.read.parquet(f"{tmp_path}/bad").collect()} == {(("SettlementDate", "x"),)}
+
+
+def test_many_splits_are_numbered_by_a_join(spark):
+    rows = spark.createDataFrame([(d, s, 100 * s + p) for d in (1, 2) for s in (0, 1, 2) for p in range(s + d)], "SettlementDate int, _block int, _pos long")
+    for small in (0, 100):
+        got = number_in_place(rows, "SettlementDate", ["_block"], "_pos", "n", Scratch(spark, "numbers"), small)
+        assert {d: sorted((r._block, r._pos, r.n) for r in got.collect() if r.SettlementDate == d) for d in (1, 2)} == {
+            1: [(0, 0, 1), (1, 100, 2), (1, 101, 3), (2, 200, 4), (2, 201, 5), (2, 202, 6)],
+            2: [(0, 0, 1), (0, 1, 2), (1, 100, 3), (1, 101, 4), (1, 102, 5), (2, 200, 6), (2, 201, 7), (2, 202, 8), (2, 203, 9)]}
+
+
+def test_components_go_on_across_batches(spark):
+    """Many components to a batch, one over several batches, quantities within and beyond 64 bits of whole units."""
+    labels = lambda n: (f"t{n}", f"i{n}", f"r{n}")
+    pairs = [(c, n, 1e17 if c % 2 else 2.5) for c in range(40) for n in range(200 if c == 7 else 2)]
+    schema = "comp long, SettlementDate int, row_id long, Code_CDP string, side string, Quantity double, PSMSMatchedReference string"
+    rows = spark.createDataFrame([(c, 1, 1000 * c + n, f"g{c}", "B", q, f"r{c}-{n}") for c, n, q in pairs], schema)
+    cells = spark.createDataFrame([(c, 1, f"g{c}", "B", 1e17 if c % 2 else 2.5, 1) for c in range(40)],
+                                  "comp long, SettlementDate int, Code_CDP string, side string, Quantity double, have long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = sorted(tuple(r) for r in settle_components(rows, cells, labels, 9).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = []
+    for c in range(40):
+        mine = [(n, q) for d, n, q in pairs if d == c]
+        group, units = (1, f"g{c}"), 10**27 if c % 2 else 25 * 10**9
+        linked = settle([(1000 * c + n, group, "B", units, (1, f"r{c}-{n}")) for n, _ in mine], [(group, "B", units, 1)], labels, 9)
+        want += [(1, 1000 * c + mine[i][0], f"g{c}", "B", mine[i][1], f"r{c}-{mine[i][0]}", text, turn) for i, turn, text in linked]
+    assert got == sorted(want) and len(want) > 40
+
+
+def test_one_record_batch_in_makes_one_out():
+    import pyarrow as pa
+    from tradeweave.operators.components import _MOVED, _settled
+
+    rows = [(c, 1, c, f"g{c}", "B", 1.0, f"r{c}", None, 10**10) for c in range(50)] + [(c, 1, None, f"g{c}", "B", 1.0, None, 1, 10**10) for c in range(50)]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.string(), pa.int64(), pa.decimal128(38, 0)]
+    rows = sorted(rows, key=lambda r: r[0])
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=_MOVED)
+    out = [*_settled(lambda n: ("t", "i", "r"), 9)(iter([batch]))]
+    assert sum(b.num_rows for b in out) == 50 and len(out) <= 2
+
+
+def test_a_report_makes_the_blocks_it_adds_up(spark, monkeypatch):
+    import tradeweave.plans.workbench as module
+    from tradeweave.plans.summaries import monthly_summary, weekly_summary
+
+    bench, plain = Workbench(spark, SF), module.append_new_dates
+    bench.loaded()
+    written = []
+    monkeypatch.setattr(module, "append_new_dates", lambda df, *a, **k: written.append(plan(df)) or plain(df, *a, **k))
+    bench.reported()  # in the order that the last join left
+    assert not [line for line in written[0].splitlines() if "Sort [SettlementDate" in line and "CDPSafeKeepingAccount" in line]
+    days = sorted(r[0] for r in bench.detail().select("SettlementDate").distinct().collect())
+    weekly_summary(bench.reported(), days[0], days[1])
+    assert bench._done(BLOCKS) and not bench._done(TOP_BLOCKS)
+    assert {r.part for r in bench.house.read(BLOCKS).select("part").distinct().collect()} == {"class", "participant"}
+    monthly_summary(bench.reported(), days[0], days[1])
+    assert "participant" not in {r.part for r in bench.house.read(TOP_BLOCKS).select("part").distinct().collect()}
+
+
+def test_participant_blocks_are_hashed(spark):
+    detail = Workbench.of(spark, SF).detail()
+    assert "SortAggregate" not in plan(cube(detail, ["SettlementDate"], True, []))
+    accounts = cube(detail, ["SettlementDate"], False, ["CDPAccountName"]).where("part = 'CDPAccountName'")
+    want = detail.groupBy("SettlementDate", "CDPAccountName", "subsequent", "flag").agg(F.min("DaName").alias("agent"))
+    assert sorted(map(str, accounts.select(want.columns).collect())) == sorted(map(str, want.collect()))
