@@ -267,3 +267,30 @@ def test_participant_blocks_are_hashed(spark):
     accounts = cube(detail, ["SettlementDate"], False, ["CDPAccountName"]).where("part = 'CDPAccountName'")
     want = detail.groupBy("SettlementDate", "CDPAccountName", "subsequent", "flag").agg(F.min("DaName").alias("agent"))
     assert sorted(map(str, accounts.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_the_feed_is_written_from_stored_stretches(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from __spark_entry__ import _write_csv_feed
+    from tradeweave.sinks.tables import append_new_dates
+    from tradeweave import commits
+
+    def fed(name, parts):
+        """(references in feed order by date, whether the files are named by stretch)"""
+        path = f"{tmp_path}/{name}"
+        tasks = spark.sparkContext.parallelize(parts, len(parts))  # a task, and so a file a date, for each part
+        facts = tasks.flatMap(lambda part: [(d, n, f"t{d}-{n}") for d, n in part])
+        whole = spark.createDataFrame(facts, "SettlementDate int, row_id long, TradeRef string")
+        append_new_dates(whole, path)
+        bench = SimpleNamespace(loaded=lambda: SimpleNamespace(facts=lambda: commits.read(spark, path)), scratch=lambda label: Scratch(spark, label))
+        _write_csv_feed(bench, f"{path}-csv")
+        got = {r.TradeRef: r.row_id for r in read_instructions(spark, f"{path}-csv", Scratch(spark, "back")).collect()}
+        assert len(bench.loaded().facts().inputFiles()) == sum(len({d for d, _ in p}) for p in parts)
+        return got, any(n.startswith("feed=") for n in child_names(spark, f"{path}-csv"))
+
+    parts = [[(20200101, n) for n in range(1, 6)], [(20200101, n) for n in range(6, 13)] + [(20200102, n) for n in range(1, 4)], [(20200102, n) for n in range(4, 12)]]
+    want = {f"t{d}-{n}": n for part in parts for d, n in part}
+    assert fed("apart", [parts[2], parts[0], parts[1]]) == (want, True)
+    mixed = [[(20200101, n) for n in (1, 3, 5)], [(20200101, n) for n in (2, 4, 6)]]
+    assert fed("mixed", mixed) == ({f"t20200101-{n}": n for n in range(1, 7)}, False)
